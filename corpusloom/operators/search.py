@@ -118,7 +118,10 @@ def _filters(questions: DataFrame) -> DataFrame:
 
 
 def apply_filters(hits: DataFrame, index: DataFrame, questions: DataFrame) -> DataFrame:
-    """Keep the hits that satisfy the file and field filters of their question (both, where both are set)."""
+    """Keep the hits that satisfy the file and field filters of their question (both, where both are set).
+
+    Where any question has a filter the kept hits are written out, since they are counted and ranked later.
+    """
     asked = _filters(questions)
     if not asked.filter("_filtered").take(1):
         return hits
@@ -133,7 +136,7 @@ def apply_filters(hits: DataFrame, index: DataFrame, questions: DataFrame) -> Da
         & (F.col("_field").isNull() | F.array_contains(F.col("_fields"), F.col("_field")))
     )
     kept = bound.join(held, "id").filter(keep).select(*hits.columns)
-    return free.select(*hits.columns).unionByName(kept)
+    return materialize(free.select(*hits.columns).unionByName(kept), "hits")
 
 
 def total_count(hits: DataFrame) -> DataFrame:
@@ -160,7 +163,7 @@ def search_text(index: DataFrame, questions: DataFrame, k: int | None = None,
     ``index`` has id, file_name and any of the searchable columns; ``questions`` has
     question_id, question and optionally file_name and custom_field.
     """
-    scored = materialize(apply_filters(materialize(score_text(index, questions), "scores"), index, questions), "hits")
+    scored = apply_filters(materialize(score_text(index, questions), "scores"), index, questions)
     ranked = top_k(scored, k, hot_rows=hot_rows)
     return ranked.join(total_count(scored), "question_id").select(
         "question_id", "id", "score", "rank", "total_count",

@@ -21,7 +21,7 @@ def identifiers(messages: DataFrame, max_tokens: int = DEFAULT_MAX_TOKENS, extra
     wanted = F.lit(True) if extract_all else has_fields(F.col(fields))
     staged = messages.withColumn("_text", F.when(wanted, F.col(text)))
     chunked = with_chunks(staged, "_text", "_chunks", max_tokens)
-    found = F.array_distinct(F.flatten(F.transform("_chunks", identifiers_of)))
+    found = F.array_distinct(F.flatten(F.transform("_chunks", lambda c: identifiers_of(c))))
     routed = route_custom_fields(chunked.withColumn("_found", found), "_found", extract_all, fields)
     return routed.withColumn(
         "reject_reason", F.when(wanted, reject_reason(F.col(text))),

@@ -11,6 +11,7 @@ from corpusloom.operators import neighbours as N
 from corpusloom.operators import search as S
 from corpusloom.plans.answers import HELP_MESSAGE, answer_context as answers
 from corpusloom.plans.indexing import index_rows
+from corpusloom.session import materialize
 from corpusloom.registry.base import (
     INDEX_SQL, MESSAGES_SQL, QUESTIONS_SQL, chunks_sql, index, messages_with_text, query, questions, table,
 )
@@ -121,7 +122,7 @@ def chunk_index(spark, sf, dim=64):
 
 VECTOR_SQL = f"""vw AS (SELECT id, unnest({words_sql('text')}) AS w FROM idx),
 vb AS (SELECT id, ('0x' || substr(md5(w), 1, 8))::BIGINT % 64 AS bucket, count(*) AS c FROM vw GROUP BY 1, 2),
-vn AS (SELECT id, round(sum(bucket * c / norm), 4) AS vector_sum FROM vb JOIN (SELECT id, sqrt(sum(c * c)) AS norm FROM vb GROUP BY id) USING (id) GROUP BY id)"""
+vn AS (SELECT id, round(sum(bucket * CAST(CAST(c / norm AS FLOAT) AS DOUBLE)), 4) AS vector_sum FROM vb JOIN (SELECT id, sqrt(sum(c * c)) AS norm FROM vb GROUP BY id) USING (id) GROUP BY id)"""
 
 
 @query(f"""WITH {CHUNK_INDEX_SQL}, {VECTOR_SQL}
@@ -145,13 +146,14 @@ def build_index(spark, sf):
   FROM questions q LEFT JOIN best USING (question_id)""")
 def answer_context(spark, sf):
     asked = questions(spark, sf).withColumn("custom_field", F.when(F.col("custom_field").isNotNull(), "requested"))
-    return answers(chunk_index(spark, sf), asked, 5)
+    # Questions are asked of a stored index.
+    return answers(materialize(chunk_index(spark, sf), "index"), asked, 5)
 
 
 @query(f"""WITH {chunks_sql(64, 'SELECT doc_id AS k, text FROM documents')},
   u AS (SELECT k, chunk_pos, unnest({words_sql('chunk_text')}) AS w FROM chunks),
   b AS (SELECT k, chunk_pos, ('0x' || substr(md5(w), 1, 8))::BIGINT % 64 AS bucket, count(*) AS c FROM u GROUP BY 1, 2, 3)
-  SELECT k AS doc_id, chunk_pos, CAST(bucket AS INTEGER) AS bucket, round(c / sqrt(sum(c * c) OVER (PARTITION BY k, chunk_pos)), 5) AS weight FROM b""")
+  SELECT k AS doc_id, chunk_pos, CAST(bucket AS INTEGER) AS bucket, round(CAST(CAST(c / sqrt(sum(c * c) OVER (PARTITION BY k, chunk_pos)) AS FLOAT) AS DOUBLE), 5) AS weight FROM b""")
 def embed_chunks(spark, sf):
     chunks = K.chunk_text(table(spark, sf, "documents"), 64, keep=("doc_id",))
     entries = E.sparse_entries(E.embed_chunks(chunks, 64), ("doc_id", "chunk_pos"))

@@ -107,8 +107,8 @@ def extract_identifiers(spark, sf):
 
 
 @query(f"""WITH {chunks_sql(64, LABELLED_DOCS)}, {IDS_SQL},
-  once AS (SELECT k, field, min({{'c': chunk_pos, 'i': i}}) AS at FROM firsts GROUP BY k, field)
-  SELECT k AS doc_id, string_agg(field, '|' ORDER BY at) AS fields FROM once GROUP BY k""")
+  once AS (SELECT k, field, min({{'c': chunk_pos, 'i': i}}) AS place FROM firsts GROUP BY k, field)
+  SELECT k AS doc_id, string_agg(field, '|' ORDER BY place) AS fields FROM once GROUP BY k""")
 def collect_fields(spark, sf):
     return I.collect_fields(_chunk_fields(spark, sf), ("doc_id",)).select(
         "doc_id", F.array_join("custom_fields", "|").alias("fields"),
@@ -116,8 +116,8 @@ def collect_fields(spark, sf):
 
 
 @query(f"""WITH {MESSAGES_SQL}, {chunks_sql(64, LABELLED_DOCS)}, {IDS_SQL},
-  once AS (SELECT k, field, min({{'c': chunk_pos, 'i': i}}) AS at FROM firsts GROUP BY k, field),
-  lists AS (SELECT k, string_agg(field, '|' ORDER BY at) AS fields FROM once GROUP BY k)
+  once AS (SELECT k, field, min({{'c': chunk_pos, 'i': i}}) AS place FROM firsts GROUP BY k, field),
+  lists AS (SELECT k, string_agg(field, '|' ORDER BY place) AS fields FROM once GROUP BY k)
   SELECT m.doc_id,
     CASE WHEN len(m.custom_fields) > 0 THEN 'Extracting Custom Field' ELSE 'No Custom Fields Specified. Abandoning extraction' END AS status,
     CASE WHEN len(m.custom_fields) > 0 THEN coalesce(l.fields, 'NOT FOUND') ELSE '' END AS fields
