@@ -72,12 +72,14 @@ def question_terms(questions: DataFrame) -> DataFrame:
     )
 
 
-def postings(index: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(id, dl, term, tf) for the words of ``vocabulary``, counted before anything is shuffled."""
+def postings(index: DataFrame, vocabulary: DataFrame, n_words: int) -> DataFrame:
+    """(id, dl, term, tf) for the words of ``vocabulary``, counted before anything is shuffled.
+
+    ``n_words`` is an upper bound of the vocabulary's size.
+    """
     docs = index.select("id", searchable_words(index).alias("_w"))
     spread = docs.select("id", F.size("_w").alias("dl"), F.explode("_w").alias("term"))
-    n = vocabulary.count()
-    if n <= BROADCAST_ROWS:
+    if n_words <= BROADCAST_ROWS:
         spread = spread.join(F.broadcast(vocabulary), "term")
         return spread.groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
     counted = spread.groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
@@ -88,7 +90,8 @@ def score_text(index: DataFrame, questions: DataFrame) -> DataFrame:
     """(question_id, id, score): BM25 of every document that shares a word with a question."""
     terms = materialize(question_terms(questions), "terms")
     # The matched postings are read for the document frequencies and again for the scores.
-    found = materialize(postings(index, terms.select("term").distinct()), "postings")
+    n_terms = terms.count()
+    found = materialize(postings(index, terms.select("term").distinct(), n_terms), "postings")
     length = F.col("n_terms") if "n_terms" in index.columns else F.size(searchable_words(index))
     stats = index.select(length.alias("dl")).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
     frequency = found.groupBy("term").agg(F.count("*").alias("df"))
@@ -98,7 +101,7 @@ def score_text(index: DataFrame, questions: DataFrame) -> DataFrame:
     damp = F.col("tf") + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.col("avgdl"))
     part = F.col("w") * F.col("tf") * F.lit(K1 + 1) / damp
     weighted = found.withColumn("avgdl", stats.select("avgdl").scalar()).join(
-        small_enough(weights, terms.count()), "term",
+        small_enough(weights, n_terms), "term",
     )
     return (
         weighted.select("question_id", "id", part.alias("part"))

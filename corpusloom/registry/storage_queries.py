@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusloom.operators import tracking as T
-from corpusloom.plans.ingest import ingest_plan
+from corpusloom.operators.messages import decode_messages
+from corpusloom.operators.sharding import assign_endpoint
+from corpusloom.operators.tracking import fold_tracking, state_record
 from corpusloom.registry.base import (
     CATALOG_SQL, ENDPOINTS, INDEX_SQL, MESSAGES_SQL, TRACKING_SQL,
     catalog, index, messages, query, table, texts, tracking, tracking_of,
 )
 from corpusloom.registry.tracking_queries import FOLD_SQL, RECORD, record
 from corpusloom.schemas import MESSAGE
-from corpusloom.operators.messages import decode_messages
 from corpusloom.session import scratch_path
 from corpusloom.sources import documents as D
 from corpusloom.sources import index_table as X
@@ -67,7 +68,7 @@ def upsert_tracking(spark, sf):
     # The same batch again, and every event redelivered by another stage.
     L.upsert_tracking(events.filter(F.col("seq") % 2 == 1), path, "load", 1)
     L.upsert_tracking(events, path, "replay", 0)
-    return record(T.fold_tracking(L.read_tracking(spark, path)))
+    return record(fold_tracking(L.read_tracking(spark, path)))
 
 
 @query(f"""WITH {INDEX_SQL} SELECT id, file_name, CASE WHEN list_contains(custom_field, 'de') THEN 'new' ELSE 'old' END AS version,
@@ -84,24 +85,24 @@ def write_index(spark, sf):
     )
 
 
-@query("""SELECT '"documents_by_' || lang || '"' AS name, count(*) AS n_rows FROM documents GROUP BY lang""")
+@query("""SELECT '"documents_index"' AS name, count(*) AS n_rows, count(DISTINCT lang) AS n_languages FROM documents""")
 def ensure_index(spark, sf):
-    docs = table(spark, sf, "documents")
-    out = None
-    # One index per language of the table; languages are few by nature.
-    for lang in [r["lang"] for r in docs.select("lang").distinct().limit(1000).collect()]:
-        name = f"documents_by_{lang}"
-        path = scratch_path(spark, name)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        X.ensure_index(spark, name, path)
-        rows = index(spark, sf).filter(F.array_contains("custom_field", lang))
-        rows.select("id", "text", "file_name", "custom_field").write.mode("append").parquet(path)
-        spark.catalog.refreshTable(name)
-        counted = spark.table(name).agg(F.count("*").alias("n_rows"))
-        listed = X.list_indexes(spark).filter(F.col("name") == f'"{name}"')
-        one = listed.withColumn("n_rows", counted.scalar())
-        out = one if out is None else out.unionByName(one)
-    return out
+    name, path = "documents_index", scratch_path(spark, "index")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    X.ensure_index(spark, name, path)
+    # Creating it again leaves it as it is.
+    X.ensure_index(spark, name)
+    index(spark, sf).select("id", "text", "file_name", "custom_field").write.mode("append").parquet(path)
+    spark.catalog.refreshTable(name)
+    language = F.element_at("custom_field", -1)
+    counted = spark.table(name).agg(
+        F.count("*").alias("n_rows"), F.count_distinct(language).alias("n_languages"),
+    )
+    listed = X.list_indexes(spark).filter(F.col("name") == f'"{name}"')
+    return listed.select(
+        "name", counted.select("n_rows").scalar().alias("n_rows"),
+        counted.select("n_languages").scalar().alias("n_languages"),
+    )
 
 
 def _event_stream(spark, sf):
@@ -113,7 +114,7 @@ def _event_stream(spark, sf):
 def tracking_stream(spark, sf):
     path = scratch_path(spark, "tracking")
     S.tracking_stream(_event_stream(spark, sf), path, "events", scratch_path(spark, "checkpoint")).awaitTermination()
-    return record(T.fold_tracking(L.read_tracking(spark, path)))
+    return record(fold_tracking(L.read_tracking(spark, path)))
 
 
 @query(f"WITH {TRACKING_SQL}, {FOLD_SQL} SELECT {RECORD} FROM folded")
@@ -124,14 +125,12 @@ def tracking_state_stream(spark, sf):
     states = spark.read.parquet(path).drop("batch_id")
     # Later batches carry the larger counts of an id.
     newest = states.groupBy("id").agg(F.max_by(F.struct(*states.columns), "n_events").alias("s")).select("s.*")
-    return record(T.state_record(newest))
+    return record(state_record(newest))
 
 
 @query(f"""WITH {CATALOG_SQL} SELECT file_name AS source_file_name, 'https://e' || doc_id % 10 % 3 AS endpoint
   FROM catalog WHERE processed IS NULL""")
 def ingest_stream(spark, sf):
-    from corpusloom.operators.sharding import assign_endpoint
-
     waiting, done = scratch_path(spark, "queue"), scratch_path(spark, "stage")
     files = catalog(spark, sf).filter(~F.map_contains_key("metadata", "Processed"))
     sent = files.select(
@@ -154,10 +153,8 @@ def ingest_stream(spark, sf):
 @query("""SELECT user_id AS id, 'unreadable message' AS reject_reason, count(*) AS attempts, count(*) >= 3 AS dead
   FROM events WHERE event_id % 7 = 3 GROUP BY user_id""")
 def dead_letter(spark, sf):
-    from pyspark.sql import types as Ty
-
     done, bad = scratch_path(spark, "stage"), scratch_path(spark, "rejects")
-    schema = Ty.StructType([Ty.StructField("k", Ty.IntegerType())])
+    schema = T.StructType([T.StructField("k", T.IntegerType())])
     events = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     broken = F.when(F.col("event_id") % 7 == 3, F.replace("props", F.lit("}"), F.lit(""))).otherwise(F.col("props"))
 
