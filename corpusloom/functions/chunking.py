@@ -8,7 +8,6 @@ restarts at every cut.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import (
@@ -108,24 +107,21 @@ def with_chunks(df, text: str, out: str, max_tokens: int = DEFAULT_MAX_TOKENS,
                 chars_per_token: int = CHARS_PER_TOKEN, units: str = "utf16"):
     """Add ``out``: the ordered chunks of ``text``. One pass over the rows, no shuffle."""
     _positive(max_tokens, chars_per_token)
-    lines = content_lines(F.col(text))
     cost = F.aggregate(
-        lines, F.lit(0).cast("bigint"),
+        "_lines", F.lit(0).cast("bigint"),
         lambda acc, line: acc + token_estimate(line, chars_per_token, units).cast("bigint"),
     )
-    staged = df.withColumn("_cost", F.coalesce(cost, F.lit(0).cast("bigint")))
+    staged = df.withColumn("_lines", content_lines(F.col(text))).withColumn(
+        "_cost", F.coalesce(cost, F.lit(0).cast("bigint")),
+    )
     fits = F.col("_cost") <= F.lit(max_tokens)
     packed = pack_udf(max_tokens, chars_per_token, units)(F.when(~fits, F.col(text)))
     whole = F.when(F.col("_cost") == 0, F.array().cast("array<string>")).otherwise(
-        F.array(trim_ws(F.array_join(lines, "\n"))),
+        F.array(trim_ws(F.array_join("_lines", "\n"))),
     )
     return (
         staged.withColumn("_packed", packed)
         .withColumn(out, F.when(fits, whole).otherwise(F.col("_packed")))
-        .drop("_cost", "_packed")
+        .drop("_lines", "_cost", "_packed")
     )
 
-
-def single_chunk(c: Column) -> Column:
-    """The chunk of a text already known to fit the limit."""
-    return trim_ws(F.array_join(content_lines(c), "\n"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.rows import array_rows
 from corpusloom.functions.text import content_lines, empty_strings
 from corpusloom.operators.messages import default_fields
-from corpusloom.operators.ordering import DEFAULT_HOT_ROWS, collect_parts
+from corpusloom.operators.ordering import parts_by_position
 
 # The labels an identifier may carry and its least length.
 LABELS = (
@@ -64,18 +65,23 @@ def extract_identifiers(df: DataFrame, text: str = "chunk_text",
     A model can take this place through ``mapInPandas`` with the same output columns.
     """
     found = identifiers_of(F.col(text), labels, min_len, skip_tables)
-    return df.select(*keep, F.posexplode(found).alias("field_pos", "field"))
+    return array_rows(df, keep, found, "field_pos", "field")
 
 
 def collect_fields(chunk_fields: DataFrame, keys: tuple[str, ...] = ("processed_name",),
-                   order: tuple[str, ...] = ("chunk_pos", "field_pos"), dedupe: bool = True,
-                   part_size: int = 10_000, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Identifier list per document: distinct by first position, or all of them in order."""
-    rows = chunk_fields.select(*keys, "field", F.struct(*order).alias("_at"))
+                   position: str = "chunk_pos", within: str = "field_pos", dedupe: bool = True,
+                   part_size: int = 10_000) -> DataFrame:
+    """Identifier list per document: distinct by first position, or all of them in order.
+
+    Every ``part_size`` chunks make a part of their own.
+    """
+    rows = chunk_fields.select(*keys, "field", F.struct(position, within).alias("_first"))
     if dedupe:
-        rows = rows.groupBy(*keys, "field").agg(F.min("_at").alias("_at"))
-    order_by = [F.col("_at")] + ([] if dedupe else [F.col("field")])
-    return collect_parts(rows, list(keys), order_by, F.col("field"), "custom_fields", part_size, hot_rows)
+        rows = rows.groupBy(*keys, "field").agg(F.min("_first").alias("_first"))
+    order = [F.col("_first"), F.col("field").alias("_f")]
+    return parts_by_position(
+        rows, list(keys), F.col("_first")[position], order, F.col("field"), "custom_fields", part_size,
+    )
 
 
 def fields_or_marker(df: DataFrame, fields: str = "custom_fields") -> DataFrame:
@@ -90,7 +96,7 @@ def clean_reply(c: Column) -> Column:
 def clean_model_replies(replies: DataFrame, reply: str = "reply", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per string of each reply's JSON list; unreadable replies give no rows."""
     parsed = F.from_json(clean_reply(F.col(reply)), "array<string>")
-    return replies.select(*keep, F.posexplode(F.coalesce(parsed, empty_strings())).alias("pos", "field"))
+    return array_rows(replies, keep, parsed, "pos", "field")
 
 
 def mask(c: Column) -> Column:
@@ -102,9 +108,8 @@ def mask(c: Column) -> Column:
 def mask_tokens(documents: DataFrame, pattern: str, text: str = "text",
                 keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Every match of ``pattern`` in every text with its masked form; too-short matches are rejects."""
-    found = documents.select(
-        *keep, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).alias("pos", "_tok"),
-    )
+    matches = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
+    found = array_rows(documents, keep, matches, "pos", "_tok")
     return found.select(
         *keep, "pos", mask(F.col("_tok")).alias("masked"),
         F.when(F.length("_tok") < 9, "value too short").alias("reject_reason"),

@@ -150,6 +150,20 @@ def group_lag(df: DataFrame, keys: list[str], order, value: str, out: str,
     return windowed(cold).select(columns).unionByName(filled.select(columns))
 
 
+def parts_by_position(df: DataFrame, keys: list[str], position: Column, order: list[Column], item: Column,
+                      out: str = "items", part_size: int = 1000) -> DataFrame:
+    """Ordered lists per key and part, where a part covers ``part_size`` positions counted from 0.
+
+    Positions are already in the data, so a key with very many rows is cut without ranking it.
+    """
+    part = F.floor(position / F.lit(part_size)).cast("int")
+    return (
+        df.select(*keys, part.alias("part"), F.struct(*order, item.alias("_item")).alias("_at"))
+        .groupBy(*keys, "part").agg(F.array_sort(F.collect_list("_at")).alias("_list"))
+        .select(*keys, "part", F.transform("_list", lambda x: x["_item"]).alias(out))
+    )
+
+
 def collect_parts(df: DataFrame, keys: list[str], order, item: Column, out: str = "items",
                   part_size: int = 1000, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Ordered lists per key, in parts of at most ``part_size`` items.
@@ -158,10 +172,6 @@ def collect_parts(df: DataFrame, keys: list[str], order, item: Column, out: str
     needs, so the whole list is kept while no row grows without bound.
     """
     numbered = group_position(df.withColumn("_item", item), keys, order, "_pos", hot_rows)
-    part = F.floor((F.col("_pos") - 1) / F.lit(part_size)).cast("int")
-    return (
-        numbered.withColumn("part", part)
-        .groupBy(*keys, "part")
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", "_item"))).alias("_list"))
-        .select(*keys, "part", F.transform("_list", lambda x: x["_item"]).alias(out))
+    return parts_by_position(
+        numbered, keys, F.col("_pos") - 1, [F.col("_pos")], F.col("_item"), out, part_size,
     )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.rows import array_rows
 from corpusloom.functions.text import empty_strings, is_blank, stem, words
-from corpusloom.operators.ordering import DEFAULT_HOT_ROWS, collect_parts, group_position
+from corpusloom.operators.ordering import DEFAULT_HOT_ROWS, group_position, parts_by_position
 from corpusloom.session import materialize
 
 # Columns a query text is matched against, and the answer to a question without hits.
@@ -78,7 +79,8 @@ def postings(index: DataFrame, vocabulary: DataFrame, n_words: int) -> DataFrame
     ``n_words`` is an upper bound of the vocabulary's size.
     """
     docs = index.select("id", searchable_words(index).alias("_w"))
-    spread = docs.select("id", F.size("_w").alias("dl"), F.explode("_w").alias("term"))
+    # The length is taken below the explode, else every word would carry the whole list.
+    spread = array_rows(docs.withColumn("dl", F.size("_w")), ("id", "dl"), "_w", "_at", "term").drop("_at")
     if n_words <= BROADCAST_ROWS:
         spread = spread.join(F.broadcast(vocabulary), "term")
         return spread.groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
@@ -178,13 +180,14 @@ def attach_hit_text(ranked: DataFrame, index: DataFrame, text: str = "text") ->
     return ranked.join(index.select("id", F.col(text).alias("text")), "id")
 
 
-def assemble_context(hits: DataFrame, questions: DataFrame, sep: str = "", part_size: int = HITS_PER_PART,
-                     hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def assemble_context(hits: DataFrame, questions: DataFrame, sep: str = "",
+                     part_size: int = HITS_PER_PART) -> DataFrame:
     """Hit texts in rank order per question, ``part_size`` hits to a row.
 
     A question without hits keeps one row with status 204 and the fixed message.
     """
-    parts = collect_parts(hits, ["question_id"], ["rank"], F.col("text"), "_texts", part_size, hot_rows)
+    at = F.col("rank")
+    parts = parts_by_position(hits, ["question_id"], at - 1, [at], F.col("text"), "_texts", part_size)
     joined = parts.select("question_id", "part", F.array_join("_texts", sep).alias("context"))
     return questions.join(joined, "question_id", "left").withColumn(
         "status", F.when(F.coalesce(F.length("context"), F.lit(0)) > 0, 200).otherwise(204),

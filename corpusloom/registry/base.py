@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import WS_CLASS
 from corpusloom.operators.catalog import PROCESSED_KEY, QUEUED_KEY
+from corpusloom.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,7 +35,9 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    scan = spark.read.parquet(f"{sf}/{name}.parquet")
+    # Tables whose rows carry long text or vectors.
+    return spread(scan) if name in ("documents", "pages", "embeddings") else scan
 
 
 def ws(pattern: str) -> str:

@@ -102,11 +102,12 @@ found AS (SELECT lang || '?' AS question_id, text, row_number() OVER (PARTITION
     CASE WHEN p.context IS NULL THEN '{S.NO_MATCH_MESSAGE}' END AS message FROM asked a LEFT JOIN p USING (question_id)""")
 def assemble_context(spark, sf):
     docs = table(spark, sf, "documents").withColumn("question_id", F.concat("lang", F.lit("?")))
-    ranked = S.top_k(docs.select("question_id", "doc_id", "n_chars", "text"), None, score="n_chars", tie="doc_id")
+    ranked = S.top_k(docs.select("question_id", F.col("doc_id").alias("id"), "n_chars"), None, score="n_chars")
+    hits = S.attach_hit_text(ranked, docs.select(F.col("doc_id").alias("id"), "text"))
     asked = docs.select("question_id").distinct().unionByName(
         spark.range(1).select(F.lit("none").alias("question_id")),
     )
-    return S.assemble_context(ranked, asked)
+    return S.assemble_context(hits, asked)
 
 
 CHUNK_INDEX_SQL = f"""{MESSAGES_SQL},

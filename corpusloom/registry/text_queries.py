@@ -6,12 +6,12 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import empty_strings
 from corpusloom.operators import chunks as K
 from corpusloom.operators import identifiers as I
 from corpusloom.operators import prompts as P
 from corpusloom.operators.extract import PAGE_RULES
 from corpusloom.operators.extract import extract_text as page_to_text
+from corpusloom.operators.ordering import collect_parts
 from corpusloom.plans.fields import identifiers as field_plan
 from corpusloom.registry.base import (
     MESSAGES_SQL, QUESTIONS_SQL, chunks_sql, messages_with_text, query, questions, runs_sql, table, trim_sql, ws,
@@ -169,17 +169,13 @@ def qa_prompt(spark, sf):
     return P.qa_prompt(asked).select("question_id", "prompt")
 
 
-@query(f"""SELECT conv_id AS id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos,
-  lower(role) AS role, {trim_sql('text')} AS content FROM conversations""")
+@query(f"""WITH n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations)
+  SELECT conv_id, CAST(i // 40 AS INTEGER) AS part, CAST(i % 40 AS INTEGER) AS pos, lower(role) AS role, {trim_sql('text')} AS content FROM n""")
 def messages_table(spark, sf):
     turn = F.concat(F.lit('<message role="'), F.upper("role"), F.lit('">\n'), "text", F.lit("\n</message>"))
-    # A conversation is one template; its turns are a handful of messages.
-    templates = (
-        table(spark, sf, "conversations").select("conv_id", F.struct("turn", turn.alias("m")).alias("t"))
-        .groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("l"))
-        .select(F.col("conv_id").alias("id"), F.array_join(F.transform("l", lambda x: x["m"]), "\n").alias("template"))
-    )
-    return P.messages_table(templates)
+    parts = collect_parts(table(spark, sf, "conversations"), ["conv_id"], ["turn"], turn, "turns", 40)
+    templates = parts.select("conv_id", "part", F.array_join("turns", "\n").alias("template"))
+    return P.messages_table(templates, keep=("conv_id", "part"))
 
 
 def _page_sql() -> str:

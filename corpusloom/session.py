@@ -52,3 +52,13 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a small scan over all cores; a scan with enough splits is left alone.
+
+    Meant for file scans ahead of heavy per-row work: one file with a single row group
+    would otherwise be read and processed by one task.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
