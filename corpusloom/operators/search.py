@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,60 +90,69 @@ def postings(index: DataFrame, vocabulary: DataFrame, n_words: int) -> DataFrame
     return counted.join(vocabulary, "term", "left_semi")
 
 
-def score_text(index: DataFrame, questions: DataFrame) -> DataFrame:
-    """(question_id, id, score): BM25 of every document that shares a word with a question."""
-    terms = materialize(question_terms(questions), "terms")
-    # The matched postings are read for the document frequencies and again for the scores.
-    n_terms = terms.count()
-    found = materialize(postings(index, terms.select("term").distinct(), n_terms), "postings")
-    length = F.col("n_terms") if "n_terms" in index.columns else F.size(searchable_words(index))
-    stats = index.select(length.alias("dl")).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
-    frequency = found.groupBy("term").agg(F.count("*").alias("df"))
-    n_docs = stats.select("n").scalar()
-    idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = terms.join(frequency, "term").select("question_id", "term", (F.col("qtf") * idf).alias("w"))
-    damp = F.col("tf") + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.col("avgdl"))
-    part = F.col("w") * F.col("tf") * F.lit(K1 + 1) / damp
-    weighted = found.withColumn("avgdl", stats.select("avgdl").scalar()).join(
-        small_enough(weights, n_terms), "term",
-    )
-    return (
-        weighted.select("question_id", "id", part.alias("part"))
-        .groupBy("question_id", "id").agg(F.round(F.sum("part"), 6).alias("score"))
-    )
-
+def _asked_filters(questions: DataFrame) -> DataFrame:
+    """question_id with the file name and field value it is restricted to, NULL where it is not."""
+    def given(c: str) -> Column:
+        return F.col(c) if c in questions.columns else F.lit(None).cast("string")
 
-def _filters(questions: DataFrame) -> DataFrame:
-    name = F.col("file_name") if "file_name" in questions.columns else F.lit(None).cast("string")
-    field = F.col("custom_field") if "custom_field" in questions.columns else F.lit(None).cast("string")
-    by_name = F.when(name.isNotNull() & (name != ""), name_words(name))
-    by_field = F.when(~is_blank(field), field)
     return questions.select(
-        "question_id", by_name.alias("_names"), by_field.alias("_field"),
-        (by_name.isNotNull() | by_field.isNotNull()).alias("_filtered"),
+        "question_id",
+        F.when(given("file_name") != "", given("file_name")).alias("file_name"),
+        F.when(~is_blank(given("custom_field")), given("custom_field")).alias("custom_field"),
     )
 
 
-def apply_filters(hits: DataFrame, index: DataFrame, questions: DataFrame) -> DataFrame:
-    """Keep the hits that satisfy the file and field filters of their question (both, where both are set).
+def allowed_pairs(index: DataFrame, asked: DataFrame, kinds: set[tuple[bool, bool]]) -> DataFrame | None:
+    """(question_id, id) that the filters of the restricted questions let through.
 
-    Where any question has a filter the kept hits are written out, since they are counted and ranked later.
+    ``kinds`` says which combinations of (file filter, field filter) occur.
     """
-    asked = _filters(questions)
-    if not asked.filter("_filtered").take(1):
-        return hits
-    n = questions.count()
-    free = hits.join(small_enough(asked.filter("NOT _filtered").select("question_id"), n), "question_id", "left_semi")
-    bound = hits.join(small_enough(asked.filter("_filtered"), n), "question_id")
-    fields = F.col("custom_field") if "custom_field" in index.columns else F.lit(None).cast("array<string>")
-    held = index.select("id", name_words(F.col("file_name")).alias("_held"),
-                        F.coalesce(fields, empty_strings()).alias("_fields"))
-    keep = (
-        (F.col("_names").isNull() | F.arrays_overlap("_held", "_names"))
-        & (F.col("_field").isNull() | F.array_contains(F.col("_fields"), F.col("_field")))
+    name, field = F.col("file_name").isNotNull(), F.col("custom_field").isNotNull()
+    if "custom_field" not in index.columns:
+        index = index.withColumn("custom_field", empty_strings())
+    pairs = []
+    if (True, False) in kinds:
+        pairs.append(match_names(index, asked.filter(name & ~field)))
+    if (False, True) in kinds:
+        pairs.append(match_fields(index, asked.filter(~name & field)))
+    if (True, True) in kinds:
+        both = asked.filter(name & field)
+        pairs.append(match_names(index, both).join(match_fields(index, both), ["question_id", "id"]))
+    return reduce(DataFrame.unionByName, pairs) if pairs else None
+
+
+def score_text(index: DataFrame, questions: DataFrame) -> DataFrame:
+    """(question_id, id, score): BM25 of every document that shares a word with a question.
+
+    Questions restricted to a file or a field value meet only the documents allowed to
+    them; word statistics always come from the whole index.
+    """
+    terms = materialize(question_terms(questions), "terms")
+    n_terms = terms.count()
+    # The matched postings are read for the document frequencies and again for the scores.
+    found = materialize(postings(index, terms.select("term").distinct(), n_terms), "postings")
+    length = F.col("n_terms") if "n_terms" in index.columns else F.size(searchable_words(index))
+    stats = index.select(length.alias("dl")).agg(F.struct(F.count("*").alias("n"), F.avg("dl").alias("avgdl")))
+    whole = stats.scalar()
+    frequency = found.groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log(1 + (whole["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = terms.join(frequency, "term").select("question_id", "term", (F.col("qtf") * idf).alias("w"))
+    damp = F.col("tf") + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / whole["avgdl"])
+    damped = found.select("id", "term", (F.col("tf") * F.lit(K1 + 1) / damp).alias("t"))
+
+    asked = _asked_filters(questions)
+    named, valued = F.col("file_name").isNotNull(), F.col("custom_field").isNotNull()
+    # At most four rows.
+    kinds = {tuple(r) for r in asked.select(named, valued).distinct().collect()}
+    allowed = allowed_pairs(index, asked, kinds)
+    free = weights if allowed is None else weights.join(
+        asked.filter(~named & ~valued).select("question_id"), "question_id", "left_semi",
     )
-    kept = bound.join(held, "id").filter(keep).select(*hits.columns)
-    return materialize(free.select(*hits.columns).unionByName(kept), "hits")
+    parts = damped.join(small_enough(free, n_terms), "term").select("question_id", "id", "w", "t")
+    if allowed is not None:
+        bound = damped.join(allowed, "id").join(small_enough(weights, n_terms), ["question_id", "term"])
+        parts = parts.unionByName(bound.select("question_id", "id", "w", "t"))
+    return parts.groupBy("question_id", "id").agg(F.round(F.sum(F.col("w") * F.col("t")), 6).alias("score"))
 
 
 def total_count(hits: DataFrame) -> DataFrame:
@@ -168,7 +179,7 @@ def search_text(index: DataFrame, questions: DataFrame, k: int | None = None,
     ``index`` has id, file_name and any of the searchable columns; ``questions`` has
     question_id, question and optionally file_name and custom_field.
     """
-    scored = apply_filters(materialize(score_text(index, questions), "scores"), index, questions)
+    scored = materialize(score_text(index, questions), "scores")
     ranked = top_k(scored, k, hot_rows=hot_rows)
     return ranked.join(total_count(scored), "question_id").select(
         "question_id", "id", "score", "rank", "total_count",

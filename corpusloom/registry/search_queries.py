@@ -81,8 +81,7 @@ def search_text_top10(spark, sf):
 
 @query(f"WITH {INDEX_SQL}, {QUESTIONS_SQL}, {HITS_SQL} SELECT question_id, count(*) AS total_count FROM hits GROUP BY question_id")
 def total_count(spark, sf):
-    idx, asked = index(spark, sf), questions(spark, sf)
-    return S.total_count(S.apply_filters(S.score_text(idx, asked), idx, asked))
+    return S.total_count(S.score_text(index(spark, sf), questions(spark, sf)))
 
 
 @query("""WITH s AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rank FROM events)
