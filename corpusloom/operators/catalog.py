@@ -15,6 +15,8 @@ PROCESSED_VALUE = "true"
 # Accepted spellings of the queue time, tried in this order, then ISO-8601.
 TIME_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy h:mm:ss a")
 
+COPY_BLOCK = 1000
+
 
 def queue_time(metadata: Column) -> Column:
     """The parsed queue time, NULL where missing or unreadable."""
@@ -72,9 +74,13 @@ def duplicate_corpus(df: DataFrame, start: int = 0, count: int = 100, name: str
     """``count`` numbered copies of every listed file; copies are not copied again."""
     if count <= 0:
         return df.filter(F.lit(False)).withColumn("copy", F.lit(0).cast("bigint"))
-    copies = F.sequence(F.lit(start).cast("bigint"), F.lit(start + count - 1).cast("bigint"))
+    # In two steps, so that no row ever holds a list of all copy numbers.
+    last = F.lit(start + count - 1).cast("bigint")
+    blocks = F.sequence(F.lit(start).cast("bigint"), last, F.lit(COPY_BLOCK).cast("bigint"))
+    first = F.col("copy")
     return (
-        df.withColumn("copy", F.explode(copies))
+        df.withColumn("copy", F.explode(blocks))
+        .withColumn("copy", F.explode(F.sequence(first, F.least(first + COPY_BLOCK - 1, last))))
         .withColumn(name, F.format_string("%06d-%s", F.col("copy"), F.col(name)))
     )
 

@@ -15,11 +15,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import best_rows, unit_rows
+from corpusloom.operators.search import small_enough
+from corpusloom.session import materialize
 
 # Queries sent to every task at once; more are split into blocks and shuffled instead.
 QUERY_BLOCK = 2048
 ROWS_PER_SLICE = 50_000
 
+# Fixed value: rows looked at per query in an approximate search.
+CANDIDATES = 500
+CODE_BITS = 256
+SEED = 7
+
 HIT_SCHEMA = "query_id bigint, id bigint, score double"
 
 
@@ -34,24 +41,27 @@ def _merge(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
     return rows.groupby("query_id", sort=False).head(k)
 
 
-def _scan(index: DataFrame, queries: DataFrame, k: int, codes=None) -> DataFrame:
-    """Top-k of every partition against a small, size-checked query block."""
-    local = queries.toPandas()
-    if local.empty:
-        return index.sparkSession.createDataFrame([], HIT_SCHEMA)
-    planes, probes = codes if codes else (None, 0)
-    ids = local["query_id"].to_numpy()
-    matrix = unit_rows(local["vector"])
-    shared = index.sparkSession.sparkContext.broadcast((ids, matrix))
+def _scan(index: DataFrame, local: pd.DataFrame, k: int) -> DataFrame:
+    """Top-k of every partition against a small, size-checked list of queries.
+
+    A column ``wanted`` may hold, for each row, the queries it is to be scored for.
+    """
+    shared = index.sparkSession.sparkContext.broadcast((local["query_id"].to_numpy(), unit_rows(local["vector"])))
+    picked = "wanted" in index.columns
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qids, q = shared.value
+        place = {int(n): i for i, n in enumerate(qids)} if picked else {}
         kept = None
         for batch in batches:
             if batch.empty:
                 continue
             rows = unit_rows(batch["vector"])
-            allowed = None if planes is None else near_codes(q, rows, planes, probes)
+            allowed = None
+            if picked:
+                allowed = np.zeros((len(qids), len(batch)), dtype=bool)
+                for col, wanted in enumerate(batch["wanted"]):
+                    allowed[[place[int(n)] for n in wanted], col] = True
             new = best_rows(qids, q @ rows.T, batch["id"].to_numpy(), k, allowed)
             kept = new if kept is None else _merge([kept, new], k)
         if kept is not None:
@@ -89,73 +99,103 @@ def vector_top_k(index: DataFrame, queries: DataFrame, k: int, query_block: int
     """
     index, queries = index.select("id", "vector"), queries.select("query_id", "vector")
     n = queries.count()
-    partial = _scan(index, queries, k) if n <= query_block else _blocks(index, queries, n, k, query_block)
-    return _top(partial, k)
+    if n == 0:
+        return _top(index.sparkSession.createDataFrame([], HIT_SCHEMA), k)
+    if n > query_block:
+        return _top(_blocks(index, queries, n, k, query_block), k)
+    return _top(_scan(index, queries.toPandas(), k), k)
 
 
-def hyperplanes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((tables, bits, dim))
+def hyperplanes(dim: int, bits: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).standard_normal((bits, dim))
 
 
-def near_codes(q: np.ndarray, rows: np.ndarray, planes: np.ndarray, probes: int) -> np.ndarray:
-    """Pairs whose sign codes differ in at most ``probes`` bits in some table."""
-    allowed = np.zeros((len(q), len(rows)), dtype=bool)
-    for table in planes:
-        a = (q @ table.T > 0).astype(np.float64) * 2 - 1
-        b = (rows @ table.T > 0).astype(np.float64) * 2 - 1
-        differing = (len(table) - a @ b.T) / 2
-        allowed |= differing <= probes
-    return allowed
+def sign_bits(vectors, dim: int, bits: int, seed: int) -> np.ndarray:
+    """On which side of each random hyperplane the vectors lie, as 0 and 1."""
+    return (unit_rows(vectors) @ hyperplanes(dim, bits, seed).T > 0).astype(np.uint8)
 
 
-def code_udf(dim: int, bits: int, seed: int, table: int = 0):
-    """Arrow UDF: sign code of a vector as an integer, for clustering a stored index."""
+def code_vectors(index: DataFrame, dim: int, bits: int = CODE_BITS, seed: int = SEED) -> DataFrame:
+    """Add ``code``: the packed sign bits of the vector, a small fraction of its size."""
 
-    @F.pandas_udf("int")
+    @F.pandas_udf("binary")
     def code(vectors: pd.Series) -> pd.Series:
-        plane = hyperplanes(dim, table + 1, bits, seed)[table]
-        signs = (unit_rows(vectors) @ plane.T > 0).astype(np.int64)
-        return pd.Series(signs @ (1 << np.arange(bits))).astype("int32")
+        return pd.Series([row.tobytes() for row in np.packbits(sign_bits(vectors, dim, bits, seed), axis=1)])
 
-    return code
+    return index.withColumn("code", code(F.col("vector")))
 
 
-def write_coded_index(index: DataFrame, path: str, dim: int, bits: int = 8, seed: int = 7) -> None:
-    """Store an index in folders by sign code, so that a search reads only the folders near its queries."""
-    coded = index.select("id", "vector").withColumn("code", code_udf(dim, bits, seed)(F.col("vector")))
-    coded.write.mode("overwrite").partitionBy("code").parquet(path)
+def _distances(q_signs: np.ndarray, codes: pd.Series, bits: int) -> np.ndarray:
+    """Differing bits of every query and row."""
+    packed = np.frombuffer(b"".join(codes), dtype=np.uint8).reshape(len(codes), -1)
+    signs = np.unpackbits(packed, axis=1)[:, :bits].astype(np.float32) * 2 - 1
+    return ((bits - q_signs @ signs.T) / 2).astype(np.int64)
 
 
-def vector_top_k_ann(index: DataFrame, queries: DataFrame, k: int, dim: int, tables: int = 4, bits: int = 8,
-                     probes: int = 2, seed: int = 7, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """Approximate cosine top-k: only rows sharing a near sign code with the query are scored.
+def near_rows(coded: DataFrame, local: pd.DataFrame, dim: int, candidates: int, bits: int, seed: int) -> DataFrame:
+    """(query_id, id) of the rows whose codes are nearest: at least ``candidates`` per query, ties included.
 
-    Index rows never move, so a code shared by a third of them stays spread over all tasks.
+    A first pass over the codes counts rows by distance, which is a few hundred numbers
+    per query however large the index; a second pass hands on the rows within reach.
     """
-    index, queries = index.select("id", "vector"), queries.select("query_id", "vector")
+    spark = coded.sparkSession
+    q_signs = sign_bits(local["vector"], dim, bits, seed).astype(np.float32) * 2 - 1
+    shared = spark.sparkContext.broadcast((local["query_id"].to_numpy(), q_signs))
+    codes = coded.select("id", "code")
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        qids, q = shared.value
+        width = bits + 1
+        total = np.zeros(len(qids) * width, dtype=np.int64)
+        for batch in batches:
+            if len(batch):
+                d = _distances(q, batch["code"], bits) + np.arange(len(qids))[:, None] * width
+                total += np.bincount(d.ravel(), minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"query_id": qids[at // width], "distance": at % width, "n": total[at]})
+
+    counted = codes.mapInPandas(count, "query_id bigint, distance int, n bigint")
+    upto = Window.partitionBy("query_id").orderBy("distance")
+    reach = (
+        counted.groupBy("query_id", "distance").agg(F.sum("n").alias("n"))
+        .withColumn("before", F.sum("n").over(upto) - F.col("n"))
+        .filter(F.col("before") < candidates)
+        .groupBy("query_id").agg(F.max("distance").alias("distance"))
+    )
+    # One number per query of the size-checked list.
+    limits = {r["query_id"]: r["distance"] for r in reach.collect()}
+    limit = np.array([limits.get(int(n), -1) for n in local["query_id"]])
+
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        qids, q = shared.value
+        for batch in batches:
+            if len(batch):
+                at_query, at_row = np.nonzero(_distances(q, batch["code"], bits) <= limit[:, None])
+                yield pd.DataFrame({"query_id": qids[at_query], "id": batch["id"].to_numpy()[at_row]})
+
+    return codes.mapInPandas(pick, "query_id bigint, id bigint")
+
+
+def vector_top_k_ann(index: DataFrame, queries: DataFrame, k: int, dim: int, candidates: int = CANDIDATES,
+                     bits: int = CODE_BITS, seed: int = SEED, query_block: int = QUERY_BLOCK) -> DataFrame:
+    """Approximate cosine top-k: nearest sign codes first, then exact scores of those rows.
+
+    An index stored with its ``code`` column has only codes read in the first step. More
+    queries than ``query_block`` are answered exactly.
+    """
+    queries = queries.select("query_id", "vector")
     n = queries.count()
-    planes = hyperplanes(dim, tables, bits, seed)
-    if n <= query_block:
-        return _top(_scan(index, queries, k, (planes, probes)), k)
-    return _top(_blocks(index, queries, n, k, query_block), k)
-
-
-def search_coded_index(spark, path: str, queries: DataFrame, k: int, dim: int, bits: int = 8, probes: int = 2,
-                       seed: int = 7, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """Approximate top-k over a stored coded index with folder pruning."""
-    local = queries.select("query_id", "vector").limit(query_block + 1).toPandas()
-    stored = spark.read.parquet(path)
-    if len(local) > query_block:
-        return _top(_blocks(stored.select("id", "vector"), queries, queries.count(), k, query_block), k)
-    plane = hyperplanes(dim, 1, bits, seed)
-    signs = (unit_rows(local["vector"]) @ plane[0].T > 0).astype(np.int64)
-    weights = 1 << np.arange(bits)
-    wanted = set()
-    for s in np.unique(signs, axis=0):
-        every = (np.arange(1 << bits)[:, None] >> np.arange(bits)) & 1
-        wanted.update(((every[(every != s).sum(axis=1) <= probes]) @ weights).tolist())
-    near = stored.filter(F.col("code").isin(sorted(wanted)))
-    return _top(_scan(near.select("id", "vector"), queries, k, (plane, probes)), k)
+    if n == 0 or n > query_block:
+        return vector_top_k(index, queries, k, query_block)
+    coded = index if "code" in index.columns else code_vectors(index, dim, bits, seed)
+    local = queries.toPandas()
+    # At most one entry per query in each list.
+    wanted = materialize(
+        near_rows(coded, local, dim, candidates, bits, seed)
+        .groupBy("id").agg(F.collect_list("query_id").alias("wanted")), "candidates",
+    )
+    rows = index.select("id", "vector").join(small_enough(wanted), "id")
+    return _top(_scan(rows, local, k), k)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

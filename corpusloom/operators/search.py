@@ -181,14 +181,17 @@ def search_text(index: DataFrame, questions: DataFrame, k: int | None = None,
     """
     scored = materialize(score_text(index, questions), "scores")
     ranked = top_k(scored, k, hot_rows=hot_rows)
-    return ranked.join(total_count(scored), "question_id").select(
+    return ranked.join(small_enough(total_count(scored), questions.count()), "question_id").select(
         "question_id", "id", "score", "rank", "total_count",
     )
 
 
 def attach_hit_text(ranked: DataFrame, index: DataFrame, text: str = "text") -> DataFrame:
-    """Text of the ranked hits; joined last, so bodies of other documents never move further."""
-    return ranked.join(index.select("id", F.col(text).alias("text")), "id")
+    """Text of the ranked hits; joined last, so that only their bodies move on.
+
+    Short lists of hits go to the stored texts instead of the other way round.
+    """
+    return index.select("id", F.col(text).alias("text")).join(small_enough(ranked), "id")
 
 
 def assemble_context(hits: DataFrame, questions: DataFrame, sep: str = "",
@@ -200,6 +203,10 @@ def assemble_context(hits: DataFrame, questions: DataFrame, sep: str = "",
     at = F.col("rank")
     parts = parts_by_position(hits, ["question_id"], at - 1, [at], F.col("text"), "_texts", part_size)
     joined = parts.select("question_id", "part", F.array_join("_texts", sep).alias("context"))
-    return questions.join(joined, "question_id", "left").withColumn(
+    n = questions.count()
+    # Two joins rather than one outer join, which would gather all parts of a question in one task.
+    found = joined.join(small_enough(questions, n), "question_id")
+    without = questions.join(hits.select("question_id").distinct(), "question_id", "left_anti")
+    return found.unionByName(without, allowMissingColumns=True).withColumn(
         "status", F.when(F.coalesce(F.length("context"), F.lit(0)) > 0, 200).otherwise(204),
     ).withColumn("message", F.when(F.col("status") == 204, NO_MATCH_MESSAGE))

@@ -66,7 +66,7 @@ def catalog(spark: SparkSession, sf: str) -> DataFrame:
     queued = F.when(id_ % 5 == 0, None).when(id_ % 97 == 2, "not a date").when(id_ % 3 == 1, stamp)
     extension = F.element_at(F.array(*map(F.lit, ("pdf", "docx", "png", "jpg"))), (id_ % 4).cast("int") + 1)
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    return table(spark, sf, "documents").select(
+    return spark.read.parquet(f"{sf}/documents.parquet").select(
         id_,
         F.concat("source", F.lit("/file"), F.format_string("%06d", F.expr("doc_id div 3")), F.lit("."), extension)
         .alias("file_name"),

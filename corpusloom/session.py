@@ -44,7 +44,8 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/corpusloom/{label}-{uuid.uuid4().hex}"
+    """A new path in a folder of this application, which may be dropped once the application is over."""
+    return f"{scratch_dir(spark)}/corpusloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -22,15 +22,18 @@ def _placed(df: DataFrame, n_buckets: int, pieces: int) -> DataFrame:
     return df.withColumn("_piece", piece).repartition(n_buckets * pieces, "bucket", "_piece")
 
 
-def write_index(df: DataFrame, path: str, n_buckets: int = N_BUCKETS, pieces: int = 4,
+def write_index(df: DataFrame, path: str, n_buckets: int = N_BUCKETS, pieces: int | None = None,
                 files: DataFrame | None = None) -> None:
     """Upload index rows: the files in ``df`` replace their stored rows, other files stay.
 
     Rows are stored in folders by a hash of the file name and only folders with an
     uploaded file are rewritten. Uploading the same rows again changes nothing.
     ``files`` may name the uploaded files (file_name) where ``df`` is costly to read twice.
+    Each folder is written by ``pieces`` tasks, by default as many as the shuffle has to spare.
     """
     spark = df.sparkSession
+    if pieces is None:
+        pieces = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // n_buckets)
     new = with_bucket(df, n_buckets)
     names = with_bucket((df if files is None else files).select("file_name").distinct(), n_buckets)
     try:
