@@ -13,6 +13,9 @@ from corpusloom.schemas import MESSAGE
 QUEUES = ("docqueue", "customfieldqueue", "toindexqueue", "movequeue")
 NO_FIELDS_STATUS = "No Custom Fields Specified. Abandoning extraction"
 EXTRACTING_STATUS = "Extracting Custom Field"
+PROCESSING_STATUS = "Processing"
+INDEXING_STATUS = "Adding to Index"
+MOVING_STATUS = "Moving original file"
 NOT_FOUND = "NOT FOUND"
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.rows import array_rows
 from corpusloom.operators.ordering import DEFAULT_HOT_ROWS, collect_parts, group_lag
 
 # Columns the first event of a document fixes, and those every later event overwrites.
@@ -13,6 +14,20 @@ LAST_WINS = ("processed_file_name", "container_name", "custom_fields")
 ITEM = ("source", "status", "event_time")
 
 
+def track(messages: DataFrame, source: str, statuses: Column, at: Column, first_seq: int = 0) -> DataFrame:
+    """Tracking events of one stage: a row per message and entry of the array ``statuses``.
+
+    NULL entries leave no event. Numbers count from ``first_seq``, so the events of a
+    message keep their order over all stages.
+    """
+    rows = messages.select("id", *FIRST_WINS, *LAST_WINS, statuses.alias("_statuses"))
+    events = array_rows(rows, ("id", *FIRST_WINS, *LAST_WINS), "_statuses", "_n", "status")
+    return events.filter(F.col("status").isNotNull()).select(
+        "id", (F.col("_n") + first_seq).cast("bigint").alias("seq"), F.lit(source).alias("source"), "status",
+        at.alias("event_time"), *FIRST_WINS, *LAST_WINS,
+    )
+
+
 def distinct_events(events: DataFrame) -> DataFrame:
     """Events without redeliveries: one row per (id, seq)."""
     return events.dropDuplicates(["id", "seq"])

@@ -9,10 +9,12 @@ from corpusloom.functions.text import empty_strings, result_name as name_of
 from corpusloom.operators import catalog as C
 from corpusloom.operators import messages as M
 from corpusloom.operators import sharding as S
+from corpusloom.operators.tracking import fold_tracking
+from corpusloom.plans.corpus import process_corpus as process
 from corpusloom.plans.extraction import extract_and_name as name_and_store
 from corpusloom.plans.ingest import ingest_plan as plan_ingest
 from corpusloom.registry.base import (
-    CATALOG_SQL, ENDPOINTS, MESSAGES_SQL, QUEUED_DATE, RUN_TIME,
+    CATALOG_SQL, ENDPOINTS, FIELDS_SQL, MESSAGES_SQL, QUEUED_DATE, RUN_TIME,
     catalog, flat, messages, query, table, texts,
 )
 
@@ -165,6 +167,41 @@ def extract_and_name(spark, sf):
     )
 
 
+def _run(spark, sf):
+    files = catalog(spark, sf)
+    names = files.select("doc_id", F.col("file_name").alias("source_file_name"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    wanted = messages(spark, sf).select("source_file_name", "custom_fields")
+    return process(
+        files, names.join(docs, "doc_id"), existing_results(spark, sf), ENDPOINTS, F.lit(RUN_TIME).cast("timestamp"),
+        wanted, max_tokens=512, dim=64,
+    )
+
+
+# Only unprocessed files are queued here, so they alone compete for names.
+RUN_SQL = f"""{NAMES_SQL.replace("FROM catalog)", "FROM catalog WHERE processed IS NULL)")}, {FIELDS_SQL},
+  outcome AS (SELECT n.*, len(f.custom_fields) > 0 AS wanted FROM named n LEFT JOIN fields f USING (doc_id))"""
+
+
+@query(f"""WITH {RUN_SQL}
+  SELECT sha1('documents' || chr(1) || file_name) AS id, CASE WHEN outcome = 'failed' THEN 4 ELSE 15 END AS n_events,
+    CASE WHEN outcome = 'failed' THEN 'Failure in extraction: result name taken' ELSE 'Successfully moved original file' END AS last_status,
+    coalesce(result_name, '') AS processed_file_name FROM outcome""")
+def process_corpus(spark, sf):
+    record = fold_tracking(_run(spark, sf).events)
+    return record.select("id", "n_events", "last_status", "processed_file_name")
+
+
+@query(f"""WITH {CATALOG_SQL.replace("catalog AS", "every AS")}, {RUN_SQL}
+  SELECT e.file_name, CASE WHEN o.outcome <> 'failed' THEN 'completed' ELSE 'documents' END AS container,
+    e.processed IS NOT NULL OR coalesce(o.outcome <> 'failed', false) AS is_processed
+  FROM every e LEFT JOIN outcome o USING (file_name)""")
+def catalog_after_run(spark, sf):
+    return _run(spark, sf).catalog.select(
+        "file_name", "container", F.map_contains_key("metadata", C.PROCESSED_KEY).alias("is_processed"),
+    )
+
+
 @query(f"""WITH {MESSAGES_SQL} SELECT doc_id, CAST(to_json({{'id': id, 'source_file_name': source_file_name,
     'recognizer_index': recognizer_index, 'custom_fields': coalesce(custom_fields, CAST([] AS VARCHAR[]))}}) AS VARCHAR) AS value FROM msgs""")
 def encode_messages(spark, sf):
