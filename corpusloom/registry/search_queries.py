@@ -91,7 +91,7 @@ def top_k(spark, sf):
     return S.top_k(scored, 5, ("user_id",), "value", "event_id")
 
 
-BY_SOURCE_SQL = """asked AS (SELECT DISTINCT lang || '?' AS question_id FROM documents UNION ALL SELECT 'none'),
+BY_SOURCE_SQL = """asked AS (SELECT DISTINCT lang || unnest(['?', '!']) AS question_id FROM documents),
 found AS (SELECT lang || '?' AS question_id, text, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rank FROM documents)"""
 
 
@@ -103,9 +103,8 @@ def assemble_context(spark, sf):
     docs = table(spark, sf, "documents").withColumn("question_id", F.concat("lang", F.lit("?")))
     ranked = S.top_k(docs.select("question_id", F.col("doc_id").alias("id"), "n_chars"), None, score="n_chars")
     hits = S.attach_hit_text(ranked, docs.select(F.col("doc_id").alias("id"), "text"))
-    asked = docs.select("question_id").distinct().unionByName(
-        spark.range(1).select(F.lit("none").alias("question_id")),
-    )
+    # Every second question has no hits.
+    asked = docs.select(F.explode(F.array("question_id", F.concat("lang", F.lit("!")))).alias("question_id")).distinct()
     return S.assemble_context(hits, asked)
 
 

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from corpusloom.functions.sql import register_functions
 from corpusloom.operators import chunks as K
 from corpusloom.operators import identifiers as I
 from corpusloom.operators import prompts as P
@@ -41,6 +42,13 @@ for _limit in (8191, 64, 8):
     _chunk_query(_limit)
 
 
+@query(f"""WITH {chunks_sql(64, DOCS)} SELECT k AS doc_id, chunk_pos, chunk_text FROM chunks""")
+def chunk_text_in_sql(spark, sf):
+    register_functions(spark)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return spark.sql("SELECT doc_id, c.chunk_pos, c.chunk_text FROM {docs}, LATERAL chunk_text(text, 64) AS c", docs=docs)
+
+
 @query(ws(f"""WITH l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^WS]')) AS ls FROM documents),
   r AS (SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line_pos, unnest(ls) AS line FROM l),
   w AS (SELECT doc_id, line_pos, list_filter(string_split(line, ' '), lambda x: x <> '') AS wl FROM r WHERE (length(line) + 3) // 4 > 8),

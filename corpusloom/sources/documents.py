@@ -32,10 +32,10 @@ def read_texts(spark: SparkSession, path: str, fmt: str = "text", name: str = "p
     """(processed_name, text), each file or row read whole as UTF-8."""
     if fmt == "parquet":
         return spark.read.parquet(path).select(name, text)
-    reader = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
+    reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(
+    return reader.text(path, wholetext=True).select(
         F.substring_index(F.input_file_name(), "/", -1).alias("processed_name"), F.col("value").alias("text"),
     )
 
