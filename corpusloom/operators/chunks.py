@@ -42,7 +42,7 @@ def split_long_line(df: DataFrame, max_chars: int, line: str = "line", keep: tup
 
 
 def rejoin_chunks(chunks: DataFrame, keys: tuple[str, ...] = ("processed_name",), sep: str = "\n",
-                  part_size: int = 10_000) -> DataFrame:
+                  part_size: int = 4000) -> DataFrame:
     """Document text from its chunks in order; every ``part_size`` chunks make a part of their own."""
     at = F.col("chunk_pos")
     parts = parts_by_position(chunks, list(keys), at, [at], F.col("chunk_text"), "_texts", part_size)

@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import best_rows, unit_rows
-from corpusloom.operators.search import small_enough
-from corpusloom.session import materialize
+from corpusloom.session import materialize, small_enough
 
 # Queries sent to every task at once; more are split into blocks and shuffled instead.
 QUERY_BLOCK = 2048
@@ -133,10 +132,11 @@ def _distances(q_signs: np.ndarray, codes: pd.Series, bits: int) -> np.ndarray:
 
 
 def near_rows(coded: DataFrame, local: pd.DataFrame, dim: int, candidates: int, bits: int, seed: int) -> DataFrame:
-    """(query_id, id) of the rows whose codes are nearest: at least ``candidates`` per query, ties included.
+    """(query_id, id) of the ``candidates`` rows per query whose codes are nearest, ties by id.
 
     A first pass over the codes counts rows by distance, which is a few hundred numbers
-    per query however large the index; a second pass hands on the rows within reach.
+    per query however large the index; a second pass hands on the rows within reach. Of
+    many rows at the same distance, such as copies, each task hands on the first ids only.
     """
     spark = coded.sparkSession
     q_signs = sign_bits(local["vector"], dim, bits, seed).astype(np.float32) * 2 - 1
@@ -169,11 +169,20 @@ def near_rows(coded: DataFrame, local: pd.DataFrame, dim: int, candidates: int,
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qids, q = shared.value
         for batch in batches:
-            if len(batch):
-                at_query, at_row = np.nonzero(_distances(q, batch["code"], bits) <= limit[:, None])
-                yield pd.DataFrame({"query_id": qids[at_query], "id": batch["id"].to_numpy()[at_row]})
-
-    return codes.mapInPandas(pick, "query_id bigint, id bigint")
+            if not len(batch):
+                continue
+            ids = batch["id"].to_numpy()
+            d = _distances(q, batch["code"], bits)
+            near = d <= limit[:, None]
+            for i in np.flatnonzero(near.sum(axis=1) > candidates):
+                tied = np.flatnonzero(d[i] == limit[i])
+                near[i, tied[np.argsort(ids[tied])[candidates:]]] = False
+            at_query, at_row = np.nonzero(near)
+            yield pd.DataFrame({"query_id": qids[at_query], "id": ids[at_row], "distance": d[at_query, at_row]})
+
+    picked = codes.mapInPandas(pick, "query_id bigint, id bigint, distance int")
+    nearest = Window.partitionBy("query_id").orderBy("distance", "id")
+    return picked.withColumn("n", F.row_number().over(nearest)).filter(F.col("n") <= candidates).select("query_id", "id")
 
 
 def vector_top_k_ann(index: DataFrame, queries: DataFrame, k: int, dim: int, candidates: int = CANDIDATES,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.rows import array_rows
 from corpusloom.functions.text import empty_strings, is_blank, stem, words
 from corpusloom.operators.ordering import DEFAULT_HOT_ROWS, group_position, parts_by_position
-from corpusloom.session import materialize
+from corpusloom.session import BROADCAST_ROWS, BROADCAST_TEXTS, materialize, small_enough
 
 # Columns a query text is matched against, and the answer to a question without hits.
 SEARCHABLE = ("text", "file_name", "description", "additional_metadata", "external_source_name", "custom_field")
@@ -19,17 +19,9 @@ NO_MATCH_MESSAGE = "Sorry, but I did not find a match based on your query."
 # Okapi BM25 constants.
 K1, B = 1.2, 0.75
 
-# Rows of the query side that may be sent to every task.
-BROADCAST_ROWS = 500_000
 HITS_PER_PART = 16
 
 
-def small_enough(df: DataFrame, n_rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it is known to be short, else left to adaptive execution."""
-    n = df.count() if n_rows is None else n_rows
-    return F.broadcast(df) if n <= limit else df
-
-
 def searchable_words(index: DataFrame) -> Column:
     present = [F.col(c) for c in SEARCHABLE if c in index.columns]
     return words(F.concat_ws(" ", *present))
@@ -205,7 +197,7 @@ def assemble_context(hits: DataFrame, questions: DataFrame, sep: str = "",
     joined = parts.select("question_id", "part", F.array_join("_texts", sep).alias("context"))
     n = questions.count()
     # Two joins rather than one outer join, which would gather all parts of a question in one task.
-    found = joined.join(small_enough(questions, n), "question_id")
+    found = joined.join(small_enough(questions, n, BROADCAST_TEXTS), "question_id")
     without = questions.join(hits.select("question_id").distinct(), "question_id", "left_anti")
     return found.unionByName(without, allowMissingColumns=True).withColumn(
         "status", F.when(F.coalesce(F.length("context"), F.lit(0)) > 0, 200).otherwise(204),

@@ -6,6 +6,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+# Rows that may be sent to every task: short keys and numbers, or rows with a question's text.
+BROADCAST_ROWS = 500_000
+BROADCAST_TEXTS = 20_000
 
 
 def build_session(app: str = "corpusloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,6 +61,12 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_enough(df: DataFrame, n_rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it is known to be short, else left to adaptive execution."""
+    n = df.count() if n_rows is None else n_rows
+    return F.broadcast(df) if n <= limit else df
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Deal the rows of a small scan over all cores; a scan with enough splits is left alone.
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.schemas import CATALOG
+from corpusloom.session import materialize, small_enough
 
 
 def list_documents(spark: SparkSession, path: str, container: str = "documents", glob: str | None = None,
@@ -58,5 +59,7 @@ def write_texts(df: DataFrame, path: str, name: str = "processed_name", mode: st
     if mode == "overwrite":
         df.write.mode("overwrite").parquet(path)
         return
-    known = stored_names(df.sparkSession, path, name).distinct()
-    df.join(known, name, "left_anti").write.mode("append").parquet(path)
+    known = stored_names(df.sparkSession, path, name)
+    # Clashes are found on the names alone; usually they are few and the bodies stay where they are.
+    clashes = materialize(df.select(name).join(known.distinct(), name, "left_semi").distinct(), "clashes")
+    df.join(small_enough(clashes), name, "left_anti").write.mode("append").parquet(path)

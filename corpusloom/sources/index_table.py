@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.schemas import INDEX_ROW
+from corpusloom.session import small_enough
 
 N_BUCKETS = 64
 
@@ -46,7 +47,9 @@ def write_index(df: DataFrame, path: str, n_buckets: int = N_BUCKETS, pieces: in
     if old is not None:
         # As many bucket numbers as folders, so this list has a fixed bound.
         touched = [r["bucket"] for r in names.select("bucket").distinct().collect()]
-        kept = old.filter(F.col("bucket").isin(touched)).join(names.select("file_name"), "file_name", "left_anti")
+        kept = old.filter(F.col("bucket").isin(touched)).join(
+            small_enough(names.select("file_name")), "file_name", "left_anti",
+        )
         merged = kept.select(new.columns).unionByName(new)
     # Rows of one id already lie together, so removing repeats needs no further shuffle.
     unique = _placed(merged, n_buckets, pieces).dropDuplicates(["bucket", "_piece", "id"]).drop("_piece")

@@ -42,10 +42,12 @@ def ordered(rows):
     return sorted((tuple(plain(v) for v in r) for r in rows), key=repr)
 
 
-def run(spark, con, name: str, sf: str):
+def run(spark, con, name: str, sf: str, inspect=None):
     """(matches, message)."""
     t = time.time()
     df = entry_module.queries()[name](spark, sf)
+    if inspect:
+        inspect(df)
     columns = sorted(df.columns)
     got = ordered(df.select(columns).collect())
     took = time.time() - t
