@@ -116,7 +116,7 @@ def allowed_pairs(index: DataFrame, asked: DataFrame, kinds: set[tuple[bool, boo
 def score_text(index: DataFrame, questions: DataFrame) -> DataFrame:
     """(question_id, id, score): BM25 of every document that shares a word with a question.
 
-    Questions restricted to a file or a field value meet only the documents allowed to
+    Questions restricted to a file or a field value keep only the documents allowed to
     them; word statistics always come from the whole index.
     """
     terms = materialize(question_terms(questions), "terms")
@@ -137,14 +137,15 @@ def score_text(index: DataFrame, questions: DataFrame) -> DataFrame:
     # At most four rows.
     kinds = {tuple(r) for r in asked.select(named, valued).distinct().collect()}
     allowed = allowed_pairs(index, asked, kinds)
-    free = weights if allowed is None else weights.join(
-        asked.filter(~named & ~valued).select("question_id"), "question_id", "left_semi",
+    parts = damped.join(small_enough(weights, n_terms), "term")
+    scored = parts.groupBy("question_id", "id").agg(F.round(F.sum(F.col("w") * F.col("t")), 6).alias("score"))
+    if allowed is None:
+        return scored
+    # The sums are already placed by question and document, so only the allowed pairs move to them.
+    kept = scored.join(allowed.withColumn("_allowed", F.lit(True)), ["question_id", "id"], "left").join(
+        small_enough(asked.select("question_id", (named | valued).alias("_restricted")), n_terms), "question_id",
     )
-    parts = damped.join(small_enough(free, n_terms), "term").select("question_id", "id", "w", "t")
-    if allowed is not None:
-        bound = damped.join(allowed, "id").join(small_enough(weights, n_terms), ["question_id", "term"])
-        parts = parts.unionByName(bound.select("question_id", "id", "w", "t"))
-    return parts.groupBy("question_id", "id").agg(F.round(F.sum(F.col("w") * F.col("t")), 6).alias("score"))
+    return kept.filter(~F.col("_restricted") | F.coalesce("_allowed", F.lit(False))).select("question_id", "id", "score")
 
 
 def total_count(hits: DataFrame) -> DataFrame:

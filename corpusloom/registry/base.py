@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import WS_CLASS
 from corpusloom.operators.catalog import PROCESSED_KEY, QUEUED_KEY
-from corpusloom.session import spread
+from corpusloom.session import small_enough, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,7 +124,8 @@ def texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def messages_with_text(spark: SparkSession, sf: str) -> DataFrame:
-    return messages(spark, sf).join(texts(spark, sf), "processed_file_name", "left")
+    # Every document has a message; the messages go to the texts while there are few of them.
+    return texts(spark, sf).join(small_enough(messages(spark, sf)), "processed_file_name")
 
 
 # --- tracking ----------------------------------------------------------------
