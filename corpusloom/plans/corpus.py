@@ -44,8 +44,8 @@ def process_corpus(catalog: DataFrame, texts: DataFrame, existing: DataFrame, en
     """Queue, extract, find fields, index and move.
 
     ``texts`` has source_file_name and text; ``wanted_fields`` source_file_name and
-    custom_fields for the documents that ask for fields. Extracted texts are written once;
-    everything after that works within the row until the index is stored.
+    custom_fields for the documents that ask for fields. Texts and fields are written once;
+    the index rows are worked out from there within the row.
     """
     queueing, extraction, fields, indexing, moving = stages
     docqueue, fieldqueue, indexqueue, movequeue = QUEUES
@@ -54,14 +54,16 @@ def process_corpus(catalog: DataFrame, texts: DataFrame, existing: DataFrame, en
     if wanted_fields is not None:
         messages = messages.drop("custom_fields").join(wanted_fields, "source_file_name", "left")
     arrivals = catalog.select(F.col("file_name").alias("source_file_name"), "queued_at")
-    # The text store: names, outcome and body of every queued document.
-    extracted = materialize(
-        extract_and_name(messages.join(arrivals, "source_file_name"), texts, existing, run_time), "extracted",
+    named = extract_and_name(messages.join(arrivals, "source_file_name"), texts, existing, run_time)
+    # The text store: name, outcome, body and fields of every queued document, worked out in one pass.
+    asked = named.withColumnRenamed("reject_reason", "_lost").withColumn("_asked", F.col("custom_fields"))
+    store = materialize(
+        identifiers(asked, max_tokens).withColumnRenamed("reject_reason", "_no_content"), "extracted",
     )
+    extracted = store.withColumn("custom_fields", F.col("_asked")).withColumnRenamed("_lost", "reject_reason")
     failed = F.col("reject_reason").isNotNull()
-    usable = extracted.filter(~failed).drop("reject_reason")
-    routed = identifiers(usable, max_tokens)
     # A document asking for fields without having text is dropped here, before indexing sees it.
+    routed = store.filter(F.col("_lost").isNull()).withColumnRenamed("_no_content", "reject_reason")
     dropped = F.col("reject_reason").isNotNull()
     onward = routed.filter(~dropped).drop("reject_reason")
     empty = reject_reason(F.col("text")).isNotNull()

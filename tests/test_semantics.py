@@ -18,6 +18,7 @@ from corpusloom.operators import search as S
 from corpusloom.operators import sharding as H
 from corpusloom.operators.extract import extract_text
 from corpusloom.plans.answers import HELP_MESSAGE, answer_context
+from corpusloom.plans.corpus import process_corpus
 from corpusloom.plans.fields import identifiers
 from corpusloom.plans.indexing import index_rejects, index_rows
 from corpusloom.schemas import INDEX_ROW, MESSAGE
@@ -278,6 +279,38 @@ def test_index_rows(spark):
     assert [r["processed_file_name"] for r in index_rejects(df).collect()] == ["b.md"]
 
 
+def test_run_over_a_catalogue(spark):
+    at = datetime(2024, 1, 1)
+    files = [("in/a.pdf", {}, at), ("in/b.pdf", {}, at), ("in/c.pdf", {}, at), ("in/d.pdf", {"Processed": "true"}, at),
+             ("in/e.pdf", {}, at), ("out/a.pdf", {}, datetime(2024, 1, 2)), ("x/a.pdf", {}, datetime(2024, 1, 3))]
+    catalog = spark.createDataFrame(files, "file_name string, metadata map<string,string>, queued_at timestamp") \
+        .withColumn("container", F.lit("documents"))
+    texts = spark.createDataFrame(
+        [("in/a.pdf", "see AB12CD34EF"), ("in/b.pdf", ""), ("in/e.pdf", ""), ("out/a.pdf", " "), ("x/a.pdf", "late")],
+        "source_file_name string, text string",
+    )
+    wanted = spark.createDataFrame([("in/a.pdf", ["ask"]), ("in/b.pdf", ["ask"])],
+                                   "source_file_name string, custom_fields array<string>")
+    existing = spark.createDataFrame([], "result_name string")
+    run = process_corpus(catalog, texts, existing, ["e0"], F.lit("2024-02-03 04:05:06").cast("timestamp"), wanted, dim=8)
+    rejects = {(r["source_file_name"], r["stage"], r["reject_reason"]) for r in run.rejects.collect()}
+    assert rejects == {("in/b.pdf", "fields", "no content"), ("in/c.pdf", "extraction", "no text extracted"),
+                       ("in/e.pdf", "indexing", "no content"), ("x/a.pdf", "extraction", "result name taken")}
+    steps = {}
+    for r in run.events.orderBy("seq").collect():
+        steps.setdefault(r["source_file_name"], []).append(r["status"])
+    assert {k: len(v) for k, v in steps.items()} == {
+        "in/a.pdf": 15, "in/b.pdf": 6, "in/c.pdf": 4, "in/e.pdf": 11, "out/a.pdf": 15, "x/a.pdf": 4}
+    assert steps["in/e.pdf"][-1] == "Failure in indexing: no content"
+    assert steps["in/a.pdf"][6] == "Extracting Custom Field"
+    index = [(r["file_name"], r["custom_field"]) for r in run.index.collect()]
+    assert index == [("a.md", ["AB12CD34EF"])]
+    places = {r["file_name"]: (r["container"], r["metadata"]) for r in run.catalog.collect()}
+    assert places["in/a.pdf"] == ("completed", {"Processed": "true"})
+    assert places["in/c.pdf"] == ("documents", {}) and places["x/a.pdf"] == ("documents", {})
+    assert places["out/a.pdf"][0] == "completed" and places["in/b.pdf"][0] == "documents"
+
+
 def vectors(spark, n, dim, seed, name):
     rng = np.random.default_rng(seed)
     rows = [(i, [float(x) for x in rng.standard_normal(dim)]) for i in range(n)]
