@@ -50,7 +50,7 @@ def _scan(index: DataFrame, local: pd.DataFrame, k: int) -> DataFrame:
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qids, q = shared.value
-        place = {int(n): i for i, n in enumerate(qids)} if picked else {}
+        place = pd.Index(qids)
         kept = None
         for batch in batches:
             if batch.empty:
@@ -59,8 +59,8 @@ def _scan(index: DataFrame, local: pd.DataFrame, k: int) -> DataFrame:
             allowed = None
             if picked:
                 allowed = np.zeros((len(qids), len(batch)), dtype=bool)
-                for col, wanted in enumerate(batch["wanted"]):
-                    allowed[[place[int(n)] for n in wanted], col] = True
+                at_row = np.repeat(np.arange(len(batch)), batch["wanted"].map(len))
+                allowed[place.get_indexer(np.concatenate(batch["wanted"].to_list())), at_row] = True
             new = best_rows(qids, q @ rows.T, batch["id"].to_numpy(), k, allowed)
             kept = new if kept is None else _merge([kept, new], k)
         if kept is not None:
