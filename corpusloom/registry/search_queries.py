@@ -9,7 +9,7 @@ from corpusloom.operators import chunks as K
 from corpusloom.operators import embedding as E
 from corpusloom.operators import neighbours as N
 from corpusloom.operators import search as S
-from corpusloom.plans.answers import HELP_MESSAGE, answer_context as answers
+from corpusloom.plans.answers import answer_context as answers
 from corpusloom.plans.indexing import index_rows
 from corpusloom.session import materialize
 from corpusloom.registry.base import (
