@@ -46,19 +46,19 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordHasher:
-    """Hashes maximal runs of word bytes; A-Z count as a-z.
+    """Hashes maximal runs of word bytes; A-Z count as a-z with ``fold_case``.
 
     ``separators`` are the bytes between words. With ``letters_only`` every ASCII byte that is
     neither letter nor digit separates words too, so that punctuation does not matter.
     """
 
-    def __init__(self, seed: int = 0, letters_only: bool = False):
+    def __init__(self, seed: int = 0, letters_only: bool = False, fold_case: bool = True):
         is_word = np.ones(256, bool)
         is_word[list(WHITE_SPACE)] = False
         if letters_only:
             is_word[[b for b in range(128) if not chr(b).isalnum()]] = False
         fold = np.arange(256)
-        fold[65:91] += 32
+        fold[65:91] += 32 * fold_case
         codes = mix(np.arange(256, dtype=np.uint64) + np.uint64(1), seed + 101)[fold]
         codes[~is_word] = 0
         self.is_word, self.codes = is_word, codes
@@ -115,6 +115,25 @@ def text_groups(at: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
         a = min(b, n)
 
 
+def cut_long(at: np.ndarray, raw: np.ndarray, size: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, text of each slice): texts of more than ``size`` bytes as slices cut at white space.
+
+    The slices cover the whole texts, so sums over them are sums over the texts in bounded memory.
+    """
+    if not len(at) or int(np.diff(at).max(initial=0)) <= size:
+        return at, np.arange(len(at) - 1)
+    cuts, owner = [int(at[0])], []
+    for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+        while b - a > size:
+            space = np.flatnonzero(np.isin(raw[a + size // 2:a + size], list(WHITE_SPACE)))
+            a += size // 2 + int(space[-1]) if len(space) else size
+            cuts.append(a)
+            owner.append(i)
+        cuts.append(b)
+        owner.append(i)
+    return np.array(cuts, np.int64), np.array(owner, np.int64)
+
+
 def word_grams(h: np.ndarray, text: np.ndarray, k: int, whole_if_short: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hash, index of first word) of every k consecutive words of a text.
 

@@ -62,9 +62,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.max(F.struct("_points", F.col("_first").isNotNull(), (-F.col("_first")).alias("_minus"))).alias("_best"),
         )
     )
-    rows = narrow.select("doc_id", "_hash", "text_sha256", "_points")
+    # One joined key, which neither side is dealt by yet: both are shuffled for the join alone, so adaptive
+    # execution may split the rows of a text that very many documents have.
+    key = F.concat("_hash", F.unhex("text_sha256")).alias("_key")
+    rows = narrow.select("doc_id", "_points", "text_sha256", key)
+    groups = groups.select(key, "group_size", "_best")
     keep_id = -F.col("_best._minus")
-    return rows.join(groups, ["_hash", "text_sha256"]).select(
+    return rows.join(groups, "_key").select(
         "doc_id",
         keep_id.alias("keep_id"),
         "group_size",

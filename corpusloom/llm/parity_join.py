@@ -13,9 +13,10 @@ differences it may have; two linked sets then share an entered block (prefix pri
 order (blocks found to be frequent last, then blocks of more elements first) only decides how much
 work there is; the result is exact for any order.
 
-Groups of equal blocks are never expanded to all pairs. Sets are first linked to the smallest member
-they share a block with, those links are verified and contracted to components, and only pairs whose
-members are still in different components are looked at, after a Hamming test on a 256-bit sketch.
+Groups of equal blocks are never expanded to all pairs. Each set is first compared with the one that
+leads most of its blocks, and the links found are contracted to components. Then, in rounds, one set of each
+component meets one of its block's main component, until no round finds a link. Only what is still apart
+after that is compared pair by pair, after a Hamming test on a 256-bit sketch.
 """
 
 from __future__ import annotations
@@ -237,6 +238,43 @@ def _pairs_checked(pairs: DataFrame, texts: DataFrame, words: int, seed: int, si
     )
 
 
+def _open_blocks(placed: DataFrame) -> DataFrame:
+    """Rows (key, node, comp, ...) of blocks whose sets are in several components, with the largest as ``main``."""
+    per_comp = placed.groupBy("key", "comp").agg(F.count("*").alias("_rows"))
+    main = per_comp.groupBy("key").agg(F.max(F.struct("_rows", "comp")).alias("_main"), F.count("*").alias("_comps"))
+    main = materialize(main.filter("_comps > 1").select("key", F.col("_main.comp").alias("main")), "split-blocks")
+    return placed.join(main, "key")
+
+
+def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """``placed`` with components joined by further links between their sets."""
+    at = placed.select("node", "comp").distinct()
+    edges = (
+        links.join(at.select(F.col("node").alias("a"), F.col("comp").alias("_x")), "a")
+        .join(at.select(F.col("node").alias("b"), F.col("comp").alias("_y")), "b")
+        .select(F.col("_x").alias("a"), F.col("_y").alias("b"))
+    )
+    new = connected_components(edges).select(F.col("node").alias("comp"), F.col("comp").alias("_new"))
+    return placed.join(new, "comp", "left").withColumn("comp", F.coalesce("_new", "comp")).drop("_new")
+
+
+def _similar_in_size_and_sketch(left: DataFrame, right: DataFrame, similarity: Fraction) -> DataFrame:
+    """(a, b) of the sets of two tables (key, comp, node, n, sketch) that share a block, are in different components and may link."""
+    columns = ["comp", "node", "n", *(f"s{w}" for w in range(SKETCH_WORDS))]
+    x = left.select("key", *[F.col(c).alias(f"x_{c}") for c in columns])
+    y = right.select("key", *[F.col(c).alias(f"y_{c}") for c in columns])
+    num, den = similarity.numerator, similarity.denominator
+    differ = sum((F.bit_count(F.col(f"x_s{w}").bitwiseXOR(F.col(f"y_s{w}"))) for w in range(1, SKETCH_WORDS)),
+                 F.bit_count(F.col("x_s0").bitwiseXOR(F.col("y_s0"))))
+    return (
+        x.join(y, "key")
+        .filter((F.col("x_comp") != F.col("y_comp")) & (F.col("x_n") * den >= F.col("y_n") * num) & (F.col("y_n") * den >= F.col("x_n") * num))
+        # Sketches differ in no more bits than the sets in elements.
+        .filter(differ * (den + num) <= (F.col("x_n") + F.col("y_n")) * (den - num))
+        .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+    )
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
                        similarity: Fraction = SIMILARITY) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
@@ -292,36 +330,40 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         slim.mapInArrow(_wanted_texts(words, seed, wanted), "node bigint, text string").dropDuplicates(["node"]), "texts",
     )
 
-    # Each set against the smallest one it shares a block with.
-    star = members.groupBy("node").agg(F.min("lead").alias("b")).select(F.col("node").alias("a"), "b").filter("a <> b")
+    # Each set against the one that leads most of its blocks.
+    star = (
+        members.filter("node <> lead").groupBy("node", "lead").agg(F.count("*").alias("_blocks"))
+        .groupBy("node").agg(F.max(F.struct("_blocks", (-F.col("lead")).alias("_minus"))).alias("_best"))
+        .select(F.col("node").alias("a"), (-F.col("_best._minus")).alias("b"))
+    )
     links = materialize(_pairs_checked(star, texts, words, seed, similarity), "links")
-    comps = connected_components(links)
-
-    # Pairs that share a block and are still apart. The largest component of a block meets only the others.
-    placed = members.distinct().join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    placed = materialize(placed, "placed")
-    per_comp = placed.groupBy("key", "comp").agg(F.count("*").alias("_rows"))
-    main = per_comp.groupBy("key").agg(F.max(F.struct("_rows", "comp")).alias("_main"), F.count("*").alias("_comps"))
-    main = materialize(main.filter("_comps > 1").select("key", F.col("_main.comp").alias("main")), "split-blocks")
-    open_rows = materialize(placed.join(main, "key"), "open")
     facts = nodes.select("node", "n", *[f"s{w}" for w in range(SKETCH_WORDS)])
-    known = materialize(open_rows.select("node").distinct().join(facts, "node"), "open-facts")
-    with_facts = materialize(open_rows.join(known, "node"), "open-sets")
-    x = with_facts.filter("comp <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in known.columns + ["comp"]])
-    y = with_facts.select("key", *[F.col(c).alias(f"y_{c}") for c in known.columns + ["comp"]], (F.col("comp") == F.col("main")).alias("_main"))
-    num, den = similarity.numerator, similarity.denominator
-    differ = sum((F.bit_count(F.col(f"x_s{w}").bitwiseXOR(F.col(f"y_s{w}"))) for w in range(1, SKETCH_WORDS)),
-                 F.bit_count(F.col("x_s0").bitwiseXOR(F.col("y_s0"))))
-    apart = (
-        x.join(y, "key")
-        .filter("x_comp <> y_comp").filter(F.col("_main") | (F.col("x_node") < F.col("y_node")))
-        .filter((F.col("x_n") * den >= F.col("y_n") * num) & (F.col("y_n") * den >= F.col("x_n") * num))
-        # Sketches differ in no more bits than the sets in elements.
-        .filter(differ * (den + num) <= (F.col("x_n") + F.col("y_n")) * (den - num))
-        .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-    )
-    more = materialize(_pairs_checked(apart, texts, words, seed, similarity), "more-links")
-    comps = connected_components(links.union(more))
+    placed = members.select("key", "node").distinct().join(connected_components(links), "node", "left").select(
+        "key", "node", F.coalesce("comp", "node").alias("comp"))
+    open_rows = materialize(_open_blocks(placed).join(facts, "node"), "open")
+    tried = None
+    while open_rows.take(1):
+        # One pair for each block and component: its smallest set against that of the block's main component.
+        first = open_rows.groupBy("key", "comp", "main").agg(F.min(F.struct("node", "n", *[f"s{w}" for w in range(SKETCH_WORDS)])).alias("_set"))
+        pairs = _similar_in_size_and_sketch(
+            first.filter("comp <> main").select("key", "comp", "_set.*"), first.filter("comp = main").select("key", "comp", "_set.*"), similarity,
+        )
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        tried = pairs if tried is None else tried.union(pairs)
+        found = materialize(_pairs_checked(pairs, texts, words, seed, similarity), "found")
+        if not found.take(1):
+            break
+        links = links.union(found)
+        open_rows = materialize(_open_blocks(_merged(open_rows.drop("main"), found)), "open")
+    # Then all pairs that share a block and are still apart. The main component of a block meets only the others.
+    if open_rows.take(1):
+        apart = _similar_in_size_and_sketch(open_rows.filter("comp <> main"), open_rows, similarity)
+        if tried is not None:
+            apart = apart.join(tried, ["a", "b"], "left_anti")
+        links = links.union(materialize(_pairs_checked(apart, texts, words, seed, similarity), "more-links"))
+    comps = connected_components(links)
 
     # Smallest id of each component, counted over all rows.
     placed_nodes = nodes.select("node", "first_id").join(comps, "node", "left").select(

@@ -6,8 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.llm.best_fit_packing import best_fit_packing
+from corpusloom.llm.cross_parsing import identify_language, learn_languages
+from corpusloom.llm.decontaminate import contaminated_passages
 from corpusloom.llm.exact_dedup import exact_dedup
+from corpusloom.llm.masked_lm import learn_language_model, score_language_model
+from corpusloom.llm.mil_quality import learn_quality, score_quality
 from corpusloom.llm.parity_join import jaccard_components
+from corpusloom.llm.subword_toxicity import learn_toxicity, score_toxicity
+from corpusloom.llm.token_counts import section_token_counts
+from corpusloom.llm.url_templates import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,11 +30,56 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Path of a public tokenizer file, which is the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+# Rules of the URL query.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@_query
+def op1_benchmark_decontamination(spark, sf_dir):
+    return contaminated_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op2_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return score_toxicity(docs, learn_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
+@_query
+def op3_masked_lm_score(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return score_language_model(docs, learn_language_model(docs))
+
+
 @_query
 def op4_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_url_templates(spark, sf_dir):
+    return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@_query
+def op6_best_fit_packing(spark, sf_dir):
+    return best_fit_packing(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@_query
+def op7_section_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    return section_token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @_query
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup(_table(spark, sf_dir, "documents"))
@@ -45,3 +98,22 @@ SELECT doc_id,
 FROM t
 WINDOW w AS (PARTITION BY normal ORDER BY n DESC, doc_id)
 """
+
+
+@_query
+def op9_quality_classifier(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return score_quality(docs, learn_quality(docs, _table(spark, sf_dir, "labels")))
+
+
+@_query
+def op10_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return identify_language(docs, learn_languages(docs))
+
+
+@_query
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
