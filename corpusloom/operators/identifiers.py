@@ -48,23 +48,25 @@ def identifiers_in(line: Column, labels: tuple[str, ...] = LABELS, min_len: int
 
 
 def identifiers_of(text: Column, labels: tuple[str, ...] = LABELS, min_len: int = MIN_LENGTH,
-                   skip_tables: bool = True) -> Column:
-    """Distinct identifiers of a text in order of first occurrence, within the row."""
+                   skip_tables: bool = True, distinct: bool = True) -> Column:
+    """Identifiers of a text in order of occurrence, by default each once, within the row."""
     lines = content_lines(text)
     if skip_tables:
         lines = F.filter(lines, lambda x: ~is_table_or_list(x))
-    return F.array_distinct(F.flatten(F.transform(lines, lambda x: identifiers_in(x, labels, min_len))))
+    found = F.flatten(F.transform(lines, lambda x: identifiers_in(x, labels, min_len)))
+    return F.array_distinct(found) if distinct else found
 
 
 def extract_identifiers(df: DataFrame, text: str = "chunk_text",
                         keep: tuple[str, ...] = ("processed_name", "chunk_pos"),
                         labels: tuple[str, ...] = LABELS, min_len: int = MIN_LENGTH,
-                        skip_tables: bool = True) -> DataFrame:
+                        skip_tables: bool = True, distinct: bool = True, model=None) -> DataFrame:
     """One row per identifier of a chunk: its position within the chunk and the identifier.
 
-    A model can take this place through ``mapInPandas`` with the same output columns.
+    ``model`` may take the place of the patterns: a column function, such as an Arrow UDF, from
+    the text to an array of strings. Without ``distinct`` repeats in a chunk are kept.
     """
-    found = identifiers_of(F.col(text), labels, min_len, skip_tables)
+    found = model(F.col(text)) if model else identifiers_of(F.col(text), labels, min_len, skip_tables, distinct)
     return array_rows(df, keep, found, "field_pos", "field")
 
 

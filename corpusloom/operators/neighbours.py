@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -17,13 +18,12 @@ from pyspark.sql import functions as F
 from corpusloom.functions.vectors import best_rows, unit_rows
 from corpusloom.session import materialize, small_enough
 
-# Queries sent to every task at once; more are split into blocks and shuffled instead.
+# Queries sent to every task at once; more are split into blocks with a scan of the index each.
 QUERY_BLOCK = 2048
-ROWS_PER_SLICE = 50_000
 
 # Fixed value: rows looked at per query in an approximate search.
 CANDIDATES = 500
-CODE_BITS = 256
+CODE_BITS = 512
 SEED = 7
 
 HIT_SCHEMA = "query_id bigint, id bigint, score double"
@@ -69,26 +69,17 @@ def _scan(index: DataFrame, local: pd.DataFrame, k: int) -> DataFrame:
     return index.mapInPandas(scan, HIT_SCHEMA)
 
 
-def _blocks(index: DataFrame, queries: DataFrame, n_queries: int, k: int, block: int) -> DataFrame:
-    """Many queries: meet hashed index slices with hashed query blocks, both of bounded size."""
-    n_blocks = math.ceil(n_queries / block)
-    n_slices = max(1, math.ceil(index.count() / ROWS_PER_SLICE))
-    left = (
-        index.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(n_slices)))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    )
-    right = (
-        queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int"))
-        .withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_slices - 1).cast("bigint"))))
-    )
+def _query_blocks(queries: DataFrame, block: int) -> Iterator[pd.DataFrame]:
+    """The queries in lists of about ``block`` rows, dealt by a hash of their id."""
+    n_blocks = math.ceil(queries.count() / block)
+    for number in range(n_blocks):
+        local = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == number).toPandas()
+        if len(local):
+            yield local
 
-    def score(rows: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or qs.empty:
-            return pd.DataFrame({"query_id": [], "id": [], "score": []})
-        sims = unit_rows(qs["vector"]) @ unit_rows(rows["vector"]).T
-        return best_rows(qs["query_id"].to_numpy(), sims, rows["id"].to_numpy(), k)
 
-    return left.groupBy("slice", "block").cogroup(right.groupBy("slice", "block")).applyInPandas(score, HIT_SCHEMA)
+def _all(parts: list[DataFrame], spark) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], HIT_SCHEMA)
 
 
 def vector_top_k(index: DataFrame, queries: DataFrame, k: int, query_block: int = QUERY_BLOCK) -> DataFrame:
@@ -97,12 +88,8 @@ def vector_top_k(index: DataFrame, queries: DataFrame, k: int, query_block: int
     ``index`` has columns id, vector and ``queries`` query_id, vector.
     """
     index, queries = index.select("id", "vector"), queries.select("query_id", "vector")
-    n = queries.count()
-    if n == 0:
-        return _top(index.sparkSession.createDataFrame([], HIT_SCHEMA), k)
-    if n > query_block:
-        return _top(_blocks(index, queries, n, k, query_block), k)
-    return _top(_scan(index, queries.toPandas(), k), k)
+    parts = [_scan(index, local, k) for local in _query_blocks(queries, query_block)]
+    return _top(_all(parts, index.sparkSession), k)
 
 
 def hyperplanes(dim: int, bits: int, seed: int) -> np.ndarray:
@@ -189,22 +176,19 @@ def vector_top_k_ann(index: DataFrame, queries: DataFrame, k: int, dim: int, can
                      bits: int = CODE_BITS, seed: int = SEED, query_block: int = QUERY_BLOCK) -> DataFrame:
     """Approximate cosine top-k: nearest sign codes first, then exact scores of those rows.
 
-    An index stored with its ``code`` column has only codes read in the first step. More
-    queries than ``query_block`` are answered exactly.
+    An index stored with its ``code`` column has only codes read in the first step. The
+    queries are worked on in blocks; a query's result does not depend on its block.
     """
-    queries = queries.select("query_id", "vector")
-    n = queries.count()
-    if n == 0 or n > query_block:
-        return vector_top_k(index, queries, k, query_block)
     coded = index if "code" in index.columns else code_vectors(index, dim, bits, seed)
-    local = queries.toPandas()
-    # At most one entry per query in each list.
-    wanted = materialize(
-        near_rows(coded, local, dim, candidates, bits, seed)
-        .groupBy("id").agg(F.collect_list("query_id").alias("wanted")), "candidates",
-    )
-    rows = index.select("id", "vector").join(small_enough(wanted), "id")
-    return _top(_scan(rows, local, k), k)
+    parts = []
+    for local in _query_blocks(queries.select("query_id", "vector"), query_block):
+        # At most one entry per query in each list.
+        wanted = materialize(
+            near_rows(coded, local, dim, candidates, bits, seed)
+            .groupBy("id").agg(F.collect_list("query_id").alias("wanted")), "candidates",
+        )
+        parts.append(_scan(index.select("id", "vector").join(small_enough(wanted), "id"), local, k))
+    return _top(_all(parts, index.sparkSession), k)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

@@ -137,15 +137,20 @@ def score_text(index: DataFrame, questions: DataFrame) -> DataFrame:
     # At most four rows.
     kinds = {tuple(r) for r in asked.select(named, valued).distinct().collect()}
     allowed = allowed_pairs(index, asked, kinds)
-    parts = damped.join(small_enough(weights, n_terms), "term")
-    scored = parts.groupBy("question_id", "id").agg(F.round(F.sum(F.col("w") * F.col("t")), 6).alias("score"))
+
+    def scores(of: DataFrame, n: int) -> DataFrame:
+        parts = damped.join(small_enough(of, n), "term")
+        return parts.groupBy("question_id", "id").agg(F.round(F.sum(F.col("w") * F.col("t")), 6).alias("score"))
+
     if allowed is None:
-        return scored
-    # The sums are already placed by question and document, so only the allowed pairs move to them.
-    kept = scored.join(allowed.withColumn("_allowed", F.lit(True)), ["question_id", "id"], "left").join(
-        small_enough(asked.select("question_id", (named | valued).alias("_restricted")), n_terms), "question_id",
+        return scores(weights, n_terms)
+    free = weights.join(asked.filter(~(named | valued)).select("question_id"), "question_id", "left_semi")
+    # Restricted questions meet the allowed documents first and only the words of those are scored.
+    narrow = (
+        allowed.join(damped, "id").join(weights, ["question_id", "term"])
+        .groupBy("question_id", "id").agg(F.round(F.sum(F.col("w") * F.col("t")), 6).alias("score"))
     )
-    return kept.filter(~F.col("_restricted") | F.coalesce("_allowed", F.lit(False))).select("question_id", "id", "score")
+    return scores(free, n_terms).unionByName(narrow)
 
 
 def total_count(hits: DataFrame) -> DataFrame:

@@ -96,6 +96,6 @@ def process_corpus(catalog: DataFrame, texts: DataFrame, existing: DataFrame, en
     return CorpusRun(
         index=index_rows(onward, max_tokens, dim),
         events=reduce(DataFrame.unionByName, events),
-        catalog=mark_completed(catalog_after(catalog, extracted), moved),
+        catalog=mark_completed(catalog_after(catalog, extracted, run_time), moved),
         rejects=rejects,
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.catalog import mark_processed
+from corpusloom.operators.catalog import mark_processed, mark_queued
 from corpusloom.operators.messages import clone_with_overrides
 from corpusloom.operators.sharding import resolve_names
 
@@ -30,13 +30,18 @@ def extract_and_name(messages: DataFrame, texts: DataFrame, existing: DataFrame,
     return with_text.withColumn("reject_reason", reason)
 
 
-def catalog_after(catalog: DataFrame, extracted: DataFrame) -> DataFrame:
-    """The catalogue with the files that got a result marked as processed."""
-    done = (
-        extracted.filter("reject_reason IS NULL")
-        .select(F.col("source_file_name").alias("file_name")).distinct().withColumn("_done", F.lit(True))
+def catalog_after(catalog: DataFrame, extracted: DataFrame, queued_at: Column | None = None) -> DataFrame:
+    """The catalogue with the files that got a result marked as processed.
+
+    With ``queued_at`` the other files among ``extracted`` carry the time they were queued.
+    """
+    done = extracted.groupBy(F.col("source_file_name").alias("file_name")).agg(
+        F.max(F.col("reject_reason").isNull()).alias("_done"),
     )
-    marked = mark_processed(catalog.withColumn("_old", F.col("metadata")))
-    return marked.join(done, "file_name", "left").withColumn(
-        "metadata", F.when(F.col("_done"), F.col("metadata")).otherwise(F.col("_old")),
-    ).drop("_done", "_old")
+    joined = catalog.join(done, "file_name", "left").withColumn("_old", F.col("metadata"))
+    stamped = joined if queued_at is None else mark_queued(joined, queued_at)
+    stamped = stamped.withColumn("_stamped", F.col("metadata"))
+    return mark_processed(stamped).withColumn(
+        "metadata",
+        F.when(F.col("_done"), F.col("metadata")).when(~F.col("_done"), F.col("_stamped")).otherwise(F.col("_old")),
+    ).drop("_done", "_old", "_stamped")

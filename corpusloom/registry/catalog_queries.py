@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,6 +149,17 @@ def resolve_names(spark, sf):
     return S.resolve_names(files, existing_results(spark, sf), run).select("file_name", "outcome", "result_name")
 
 
+@query(f"""WITH {NAMES_SQL} SELECT file_name, unnest(['documents', 'documents', 'incoming']) AS container, unnest([0, 1, 2]) AS delivery,
+    outcome, result_name FROM named""")
+def resolve_names_redelivered(spark, sf):
+    """Every file delivered twice, and once more from a second container that arrives too late for a name of its own."""
+    run = F.lit(RUN_TIME).cast("timestamp")
+    files = catalog(spark, sf).select("file_name", "queued_at").withColumn("delivery", F.explode(F.sequence(F.lit(0), F.lit(2)))).withColumn(
+        "container", F.when(F.col("delivery") == 2, "incoming").otherwise("documents"))
+    named = S.resolve_names(files, existing_results(spark, sf), run, key=("file_name",))
+    return named.select("file_name", "container", "delivery", "outcome", "result_name")
+
+
 @query(f"""WITH {NAMES_SQL} SELECT n.file_name AS source_file_name, n.outcome, coalesce(n.result_name, '') AS processed_file_name,
     CASE WHEN n.outcome = 'failed' THEN 'documents' ELSE 'processresults' END AS container_name,
     md5(d.text) AS text_hash, CASE WHEN n.outcome = 'failed' THEN 'result name taken' END AS reject_reason
@@ -194,11 +207,13 @@ def process_corpus(spark, sf):
 
 @query(f"""WITH {CATALOG_SQL.replace("catalog AS", "every AS")}, {RUN_SQL}
   SELECT e.file_name, CASE WHEN o.outcome <> 'failed' THEN 'completed' ELSE 'documents' END AS container,
-    e.processed IS NOT NULL OR coalesce(o.outcome <> 'failed', false) AS is_processed
+    CASE WHEN e.processed IS NOT NULL OR o.outcome <> 'failed' THEN 'Processed=true'
+      ELSE 'IsQueued={datetime.strptime(RUN_TIME, "%Y-%m-%d %H:%M:%S").strftime("%m/%d/%Y %H:%M:%S")}' END AS metadata
   FROM every e LEFT JOIN outcome o USING (file_name)""")
 def catalog_after_run(spark, sf):
     return _run(spark, sf).catalog.select(
-        "file_name", "container", F.map_contains_key("metadata", C.PROCESSED_KEY).alias("is_processed"),
+        "file_name", "container",
+        F.array_join(F.transform(F.map_entries("metadata"), lambda x: F.concat_ws("=", x["key"], x["value"])), ",").alias("metadata"),
     )
 
 

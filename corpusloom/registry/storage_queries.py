@@ -164,3 +164,26 @@ def dead_letter(spark, sf):
     S.stage_stream(events, stage, S.batch_folder(done), scratch_path(spark, "checkpoint"),
                    S.batch_folder(bad)).awaitTermination()
     return S.dead_letter(spark.read.parquet(bad), max_attempts=3)
+
+
+FILES_SQL = """SELECT 'name=my doc ' || doc_id || '+x/' AS folder, md5(text || chr(10)) AS text_hash FROM documents"""
+
+
+def _files(spark, sf):
+    """Every document as a text file in a folder with blanks and a plus sign in its name."""
+    docs = table(spark, sf, "documents").select(F.concat(F.lit("my doc "), F.col("doc_id"), F.lit("+x")).alias("name"), "text")
+    path = scratch_path(spark, "files")
+    docs.write.partitionBy("name").text(path)
+    return path
+
+
+@query(f"""SELECT folder, true AS is_file FROM ({FILES_SQL})""")
+def list_files(spark, sf):
+    listed = D.list_documents(spark, _files(spark, sf), glob="*.txt")
+    return listed.select(F.regexp_extract("file_name", "^.*/", 0).alias("folder"), (F.col("length") > 0).alias("is_file"))
+
+
+@query(FILES_SQL)
+def read_text_files(spark, sf):
+    read = D.read_texts(spark, _files(spark, sf), glob="*.txt")
+    return read.select(F.regexp_extract("processed_name", "^.*/", 0).alias("folder"), F.md5(F.col("text").cast("binary")).alias("text_hash"))

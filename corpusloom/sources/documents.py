@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.schemas import CATALOG
 from corpusloom.session import materialize, small_enough
 
 
+def _relative(file_path: Column, spark: SparkSession, root: str) -> Column:
+    """A file's path below ``root``. Both are compared as plain text with one slash after the scheme."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    tidy = F.regexp_replace(file_path, "^file:/+", "file:/")
+    start = re.sub("^file:/+", "file:/", full).rstrip("/") + "/"
+    return F.when(tidy.startswith(start), F.substring(tidy, len(start) + 1, 1 << 20)).otherwise(F.substring_index(tidy, "/", -1))
+
+
 def list_documents(spark: SparkSession, path: str, container: str = "documents", glob: str | None = None,
                    fmt: str = "binaryFile") -> DataFrame:
-    """Names, sizes and times of the files under ``path``; their content is never read.
+    """Names below ``path``, sizes and times of the files; their content is never read.
 
     ``fmt='parquet'`` reads a stored catalogue (file_name, container, metadata) instead.
     """
@@ -22,7 +33,7 @@ def list_documents(spark: SparkSession, path: str, container: str = "documents",
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(path).select(
-        F.col("path"), F.substring_index("path", "/", -1).alias("file_name"), F.lit(container).alias("container"),
+        F.col("path"), _relative(F.col("path"), spark, path).alias("file_name"), F.lit(container).alias("container"),
         F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")).alias("metadata"),
         F.col("modificationTime").alias("modified"), F.col("length"),
     )
@@ -30,14 +41,16 @@ def list_documents(spark: SparkSession, path: str, container: str = "documents",
 
 def read_texts(spark: SparkSession, path: str, fmt: str = "text", name: str = "processed_name",
                text: str = "text", glob: str | None = None) -> DataFrame:
-    """(processed_name, text), each file or row read whole as UTF-8."""
+    """(processed_name, text), each file or row read whole as UTF-8. The name is the file's path below ``path``."""
     if fmt == "parquet":
         return spark.read.parquet(path).select(name, text)
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.text(path, wholetext=True).select(
-        F.substring_index(F.input_file_name(), "/", -1).alias("processed_name"), F.col("value").alias("text"),
+        # The stored path is URL-encoded except for plus signs.
+        _relative(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), spark, path).alias("processed_name"),
+        F.col("value").alias("text"),
     )
 
 

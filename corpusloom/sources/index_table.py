@@ -24,25 +24,32 @@ def _placed(df: DataFrame, n_buckets: int, pieces: int) -> DataFrame:
 
 
 def write_index(df: DataFrame, path: str, n_buckets: int = N_BUCKETS, pieces: int | None = None,
-                files: DataFrame | None = None) -> None:
+                files: DataFrame | None = None, version: str | None = None) -> None:
     """Upload index rows: the files in ``df`` replace their stored rows, other files stay.
 
     Rows are stored in folders by a hash of the file name and only folders with an
     uploaded file are rewritten. Uploading the same rows again changes nothing.
     ``files`` may name the uploaded files (file_name) where ``df`` is costly to read twice.
     Each folder is written by ``pieces`` tasks, by default as many as the shuffle has to spare.
+    The number of folders is stored with the rows; a table that exists keeps its own. Of several rows
+    with one id in ``df`` the one with the greatest ``version`` (a column, which is not stored) stays.
     """
     spark = df.sparkSession
-    if pieces is None:
-        pieces = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // n_buckets)
-    new = with_bucket(df, n_buckets)
-    names = with_bucket((df if files is None else files).select("file_name").distinct(), n_buckets)
     try:
         old = spark.read.parquet(path)
+        stored = old.select("n_buckets").first()
+        n_buckets = stored["n_buckets"] if stored else n_buckets
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         old = None
+    if version is not None:
+        rows = [c for c in df.columns if c != version]
+        df = df.groupBy("id").agg(F.max_by(F.struct(*rows), version).alias("_row")).select("_row.*")
+    if pieces is None:
+        pieces = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // n_buckets)
+    new = with_bucket(df, n_buckets).withColumn("n_buckets", F.lit(n_buckets))
+    names = with_bucket((df if files is None else files).select("file_name").distinct(), n_buckets)
     merged = new
     if old is not None:
         # As many bucket numbers as folders, so this list has a fixed bound.
@@ -60,7 +67,7 @@ def write_index(df: DataFrame, path: str, n_buckets: int = N_BUCKETS, pieces: in
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("bucket")
+    return spark.read.parquet(path).drop("bucket", "n_buckets")
 
 
 def ensure_index(spark: SparkSession, name: str, location: str | None = None,

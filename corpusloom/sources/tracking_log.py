@@ -15,15 +15,22 @@ def assign_ids(messages: DataFrame, name: str = "source_file_name", container: s
     return messages.withColumn("id", F.when(is_blank(F.col("id")), made).otherwise(F.col("id")))
 
 
-def upsert_tracking(batch: DataFrame, path: str, stage: str, batch_id: int) -> None:
+def upsert_tracking(batch: DataFrame, path: str, stage: str, batch_id: int, run: str | None = None) -> None:
     """Write one batch of events to its own folder.
 
     Running the same batch again replaces that folder, so nothing stored has to be read
-    here. Redeliveries in other batches fall away when the log is read.
+    here. Batches of another ``run`` have folders of their own; by default the run is the streaming
+    query, whose id lives in its checkpoint. Redeliveries in other batches fall away when the log is read.
     """
-    batch.write.mode("overwrite").parquet(f"{path}/stage={stage}/batch_id={batch_id}")
+    run = run or query_id(batch)
+    batch.write.mode("overwrite").parquet(f"{path}/stage={stage}/run={run}/batch_id={batch_id}")
+
+
+def query_id(batch: DataFrame) -> str:
+    """Id of the streaming query that a batch belongs to, which a restart keeps and a new checkpoint changes."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
 def read_tracking(spark: SparkSession, path: str) -> DataFrame:
     """All events once each."""
-    return distinct_events(spark.read.parquet(path).drop("stage", "batch_id"))
+    return distinct_events(spark.read.parquet(path).drop("stage", "run", "batch_id"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.operators.tracking import fold_state
-from corpusloom.sources.tracking_log import upsert_tracking
+from corpusloom.session import materialize
+from corpusloom.sources.tracking_log import query_id, upsert_tracking
 
 Transform = Callable[[DataFrame], DataFrame]
 Sink = Callable[[DataFrame, int], None]
@@ -27,6 +28,8 @@ def stage_stream(source: DataFrame, transform: Transform, sink: Sink, checkpoint
     def run(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch)
         if rejects is not None and "reject_reason" in out.columns:
+            # Worked out once, so that the two sinks cannot disagree about a row.
+            out = materialize(out, "staged")
             rejects(out.filter("reject_reason IS NOT NULL"), batch_id)
             out = out.filter("reject_reason IS NULL").drop("reject_reason")
         sink(out, batch_id)
@@ -39,10 +42,10 @@ def stage_stream(source: DataFrame, transform: Transform, sink: Sink, checkpoint
 
 
 def batch_folder(path: str) -> Sink:
-    """A sink with one folder per batch, replaced when the batch runs again."""
+    """A sink with one folder per run and batch, replaced when the batch runs again."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        df.write.mode("overwrite").parquet(f"{path}/run={query_id(df)}/batch_id={batch_id}")
 
     return write
 

@@ -307,7 +307,8 @@ def test_run_over_a_catalogue(spark):
     assert index == [("a.md", ["AB12CD34EF"])]
     places = {r["file_name"]: (r["container"], r["metadata"]) for r in run.catalog.collect()}
     assert places["in/a.pdf"] == ("completed", {"Processed": "true"})
-    assert places["in/c.pdf"] == ("documents", {}) and places["x/a.pdf"] == ("documents", {})
+    queued = {"IsQueued": "02/03/2024 04:05:06"}
+    assert places["in/c.pdf"] == ("documents", queued) and places["x/a.pdf"] == ("documents", queued)
     assert places["out/a.pdf"][0] == "completed" and places["in/b.pdf"][0] == "documents"
 
 
