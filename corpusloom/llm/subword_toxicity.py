@@ -21,9 +21,14 @@ BUCKETS = 1 << 18
 DIMENSIONS = 8
 # Bounds of the training sample: documents, and different n-grams of one of them (the smallest hashes).
 SAMPLE_DOCS, SAMPLE_GRAMS = 6000, 1 << 13
-EPOCHS, RATE, DECAY = 150, 0.1, 1e-4
+EPOCHS, RATE, DECAY = 60, 0.1, 10.0
+# N-grams of fewer training documents teach nothing.
+LEAST_DOCS = 8
 # The average is scaled before the softmax, because a handful of words among many decide.
-SCALE = 100.0
+SCALE = 200.0
+# N-grams that the average of a short text is shrunk by.
+SHRINK = 100
+BALANCE = 0.5
 FOLDS, FOLD = 5, 0
 THRESHOLD = 0.5
 
@@ -65,7 +70,7 @@ def subwords(at: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fit(bucket: np.ndarray, doc: np.ndarray, weight: np.ndarray, y: np.ndarray, seed: int = 0) -> dict:
     """Embeddings and softmax rows, trained together by Adam on the whole sample.
 
-    ``weight`` is the share of a bucket in its document. Both classes weigh the same.
+    ``weight`` is the share of a bucket in its document.
     """
     if len(y) == 0 or y.min() == y.max():
         return {"constant": float(y.mean()) if len(y) else 0.0}
@@ -74,7 +79,9 @@ def fit(bucket: np.ndarray, doc: np.ndarray, weight: np.ndarray, y: np.ndarray,
     table = rng.normal(0, 0.1, (len(used), DIMENSIONS)).astype(np.float32)
     rows = rng.normal(0, 0.1, (2, DIMENSIONS)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    each = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+    # Between equal weights of documents and of classes.
+    each = np.where(y == 1, (y == 1).mean() ** -BALANCE, (y == 0).mean() ** -BALANCE)
+    each = each / each.sum()
     heads = np.searchsorted(doc, np.arange(len(y)))
     full = np.bincount(doc, minlength=len(y)) > 0
     m = [np.zeros_like(a) for a in (table, rows, bias)]
@@ -110,7 +117,7 @@ def predict(model: dict, at: np.ndarray, raw: np.ndarray) -> np.ndarray:
         bucket, text = subwords(at[a:b + 1], raw)
         total += np.bincount(owner[a + text], weights=model["values"][bucket], minlength=n)
         count += np.bincount(owner[a + text], minlength=n)
-    mean = total / np.maximum(1, count)
+    mean = total / (count + SHRINK)
     return 1 / (1 + np.exp(-np.clip(mean * SCALE + model["bias"], -30, 30)))
 
 
@@ -124,7 +131,7 @@ def _sample_grams(batches):
             for a, b in text_groups(pieces):
                 count += np.bincount(subwords(pieces[a:b + 1], raw)[0], minlength=BUCKETS)
             found = np.flatnonzero(count)
-            share = count[found] / max(1, count.sum())
+            share = count[found] / (count.sum() + SHRINK)
             if len(found) > SAMPLE_GRAMS:
                 keep = np.argsort(mix(found.astype(np.uint64)))[:SAMPLE_GRAMS]
                 found, share = found[keep], share[keep]
@@ -152,7 +159,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fol
     doc = np.repeat(np.arange(len(y), dtype=np.int32), [len(b) for b in bucket])
     weight = np.concatenate([np.frombuffer(v, np.float32) for v in got["shares"].to_pylist()])
     bucket = np.concatenate(bucket)
-    often = np.bincount(bucket, minlength=BUCKETS) >= 3  # n-grams of one or two documents teach nothing
+    often = np.bincount(bucket, minlength=BUCKETS) >= LEAST_DOCS
     keep = often[bucket]
     return fit(bucket[keep], doc[keep], weight[keep], y)
 
