@@ -98,7 +98,7 @@ def _pieces(tokenizer: str, capacity: int, end_id: int):
         for number, batch in enumerate(batches):
             at, raw = text_buffer(batch.column("text"))
             row, piece, start, length, crc = [], [], [], [], []
-            for a, b in text_groups(at, 1 << 19):
+            for a, b in text_groups(at, 1 << 21):
                 ids, counts = encoder.encode(at[a:b + 1], raw)
                 edges = np.concatenate([[0], np.cumsum(counts)])
                 for i in range(b - a):

@@ -8,13 +8,14 @@ then by their bytes, so two words with one hash cannot be mistaken for each othe
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 
 from corpusloom.llm.byte_words import WordHasher
 
 # Words that a Python worker remembers; beyond it the memory starts afresh, with the same ids.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 21
 _LOADED: dict[str, "WordEncoder"] = {}
 
 
@@ -38,7 +39,7 @@ class WordEncoder:
         self.known = np.zeros(0, np.uint64)  # hashes in order, and for each its entry
         self.entry = np.zeros(0, np.int64)
         self.text_at, self.text = np.zeros(1, np.int64), np.zeros(0, np.uint8)
-        self.ids_at, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.ids_at, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def _learn(self, h, start, end, raw):
         """Encode words whose hash is new."""
@@ -51,12 +52,11 @@ class WordEncoder:
         n = len(self.text_at) - 1
         self.text = np.concatenate([self.text, np.frombuffer(b"".join(words), np.uint8)])
         self.text_at = np.append(self.text_at, self.text_at[-1] + np.cumsum([len(w) for w in words]))
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.int64)])
+        self.ids = np.concatenate([self.ids, np.array([*chain.from_iterable(found)], np.int32)])
         self.ids_at = np.append(self.ids_at, self.ids_at[-1] + np.cumsum([len(x) for x in found]))
-        known = np.concatenate([self.known, h[fresh]])
-        entry = np.concatenate([self.entry, np.arange(n, n + len(fresh))])
-        order = np.argsort(known)
-        self.known, self.entry = known[order], entry[order]
+        at = np.searchsorted(self.known, h[fresh])  # the new hashes are in order too
+        self.known = np.insert(self.known, at, h[fresh])
+        self.entry = np.insert(self.entry, at, np.arange(n, n + len(fresh)))
 
     def _encode_words(self, words: list[str]):
         return self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
