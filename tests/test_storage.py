@@ -35,9 +35,9 @@ def test_listing_and_reading(spark, tmp_path):
     (tmp_path / "sub" / "b.txt").write_text("b")
     (tmp_path / "c.bin").write_bytes(b"\x00\x01")
     listed = D.list_documents(spark, str(tmp_path))
-    assert sorted(r["file_name"] for r in listed.collect()) == ["a.txt", "b.txt", "c.bin"]
+    assert sorted(r["file_name"] for r in listed.collect()) == ["a.txt", "c.bin", "sub/b.txt"]
     read = {r["processed_name"]: r["text"] for r in D.read_texts(spark, str(tmp_path), glob="*.txt").collect()}
-    assert read == {"a.txt": "één\ntwo", "b.txt": "b"}
+    assert read == {"a.txt": "één\ntwo", "sub/b.txt": "b"}
 
 
 def test_text_store_keeps_the_first(spark):
