@@ -26,6 +26,8 @@ EPOCHS, RATE, DECAY = 60, 0.1, 10.0
 LEAST_DOCS = 8
 # The average is scaled before the softmax, because a handful of words among many decide.
 SCALE = 200.0
+# Entries (document and n-gram) that training works on at once, those of one document aside.
+STEP_ENTRIES = 1 << 19
 # N-grams that the average of a short text is shrunk by.
 SHRINK = 100
 BALANCE = 0.5
@@ -75,24 +77,30 @@ def fit(bucket: np.ndarray, doc: np.ndarray, weight: np.ndarray, y: np.ndarray,
     if len(y) == 0 or y.min() == y.max():
         return {"constant": float(y.mean()) if len(y) else 0.0}
     rng = np.random.default_rng(seed)
-    used, place = np.unique(bucket, return_inverse=True)
+    seen = np.bincount(bucket, minlength=BUCKETS) > 0
+    used, place = np.flatnonzero(seen), (np.cumsum(seen) - 1).astype(np.int32)[bucket]
     table = rng.normal(0, 0.1, (len(used), DIMENSIONS)).astype(np.float32)
     rows = rng.normal(0, 0.1, (2, DIMENSIONS)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     # Between equal weights of documents and of classes.
     each = np.where(y == 1, (y == 1).mean() ** -BALANCE, (y == 0).mean() ** -BALANCE)
     each = each / each.sum()
-    heads = np.searchsorted(doc, np.arange(len(y)))
-    full = np.bincount(doc, minlength=len(y)) > 0
+    # Ranges of entries and their documents, so that what a step works on stays small.
+    cuts = np.unique(np.append(np.searchsorted(doc, doc[::STEP_ENTRIES]), len(doc)))
+    ranges = [(a, b, doc[a], doc[b - 1] + 1) for a, b in zip(cuts[:-1], cuts[1:])]
     m = [np.zeros_like(a) for a in (table, rows, bias)]
     v = [np.zeros_like(a) for a in (table, rows, bias)]
     for step in range(1, EPOCHS + 1):
         value = table @ (rows[1] - rows[0])
         logit = np.zeros(len(y))
-        logit[full] = np.add.reduceat(weight * value[place], heads[full])
+        for a, b, first, last in ranges:
+            logit[first:last] = np.bincount(doc[a:b] - first, weights=weight[a:b] * value[place[a:b]], minlength=last - first)
         p = 1 / (1 + np.exp(-np.clip(logit * SCALE + bias[1] - bias[0], -30, 30)))
         g = (p - y) * each
-        pull = np.bincount(place, weights=weight * g[doc], minlength=len(used)).astype(np.float32) * SCALE
+        pull = np.zeros(len(used))
+        for a, b, _, _ in ranges:
+            pull += np.bincount(place[a:b], weights=weight[a:b] * g[doc[a:b]], minlength=len(used))
+        pull = pull.astype(np.float32) * SCALE
         d_rows = table.T @ pull
         grads = (
             pull[:, None] * (rows[1] - rows[0]) + DECAY / len(used) * table,
@@ -143,6 +151,29 @@ def _sample_grams(batches):
         )
 
 
+def _training_arrays(got: pa.Table) -> tuple[np.ndarray, ...]:
+    """(labels, document, bucket, weight) by doc_id, without n-grams of fewer than ``LEAST_DOCS`` documents.
+
+    One document is unpacked at a time, because everything together would be held several times over.
+    """
+    order = np.argsort(got["doc_id"].to_numpy(), kind="stable").tolist()
+    y = got["label"].to_numpy().astype(np.int64)[order]
+    docs = np.zeros(BUCKETS, np.int64)
+    for value in got["grams"]:
+        docs[np.frombuffer(value.as_buffer(), np.int32)] += 1
+    often = docs >= LEAST_DOCS
+    size = int(docs[often].sum())
+    doc, bucket, weight = np.zeros(size, np.int32), np.zeros(size, np.int32), np.zeros(size, np.float32)
+    end = 0
+    for at, row in enumerate(order):
+        found = np.frombuffer(got["grams"][row].as_buffer(), np.int32)
+        keep = often[found]
+        start, end = end, end + int(keep.sum())
+        doc[start:end], bucket[start:end] = at, found[keep]
+        weight[start:end] = np.frombuffer(got["shares"][row].as_buffer(), np.float32)[keep]
+    return y, doc, bucket, weight
+
+
 def learn_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, fold: int = FOLD,
                    id_col: str = "doc_id", text_col: str = "text") -> dict:
     """The model, from at most ``SAMPLE_DOCS`` labelled documents that are not held out.
@@ -151,17 +182,9 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fol
     """
     sample = labelled_sample(docs, labels, label, SAMPLE_DOCS, folds, fold, id_col, text_col)
     got = sample.mapInArrow(_sample_grams, "doc_id bigint, label int, grams binary, shares binary").toArrow()
-    got = got.sort_by([("doc_id", "ascending")])
-    bucket = [np.frombuffer(v, np.int32) for v in got["grams"].to_pylist()]
-    y = got["label"].to_numpy().astype(np.int64)
-    if not bucket:
-        return fit(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), y)
-    doc = np.repeat(np.arange(len(y), dtype=np.int32), [len(b) for b in bucket])
-    weight = np.concatenate([np.frombuffer(v, np.float32) for v in got["shares"].to_pylist()])
-    bucket = np.concatenate(bucket)
-    often = np.bincount(bucket, minlength=BUCKETS) >= LEAST_DOCS
-    keep = often[bucket]
-    return fit(bucket[keep], doc[keep], weight[keep], y)
+    y, doc, bucket, weight = _training_arrays(got)
+    del got
+    return fit(bucket, doc, weight, y)
 
 
 def score_toxicity(docs: DataFrame, model: dict, threshold: float = THRESHOLD, folds: int = FOLDS, fold: int = FOLD,
