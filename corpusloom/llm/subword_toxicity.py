@@ -103,7 +103,7 @@ def fit(bucket: np.ndarray, doc: np.ndarray, weight: np.ndarray, y: np.ndarray,
         pull = pull.astype(np.float32) * SCALE
         d_rows = table.T @ pull
         grads = (
-            pull[:, None] * (rows[1] - rows[0]) + DECAY / len(used) * table,
+            pull[:, None] * (rows[1] - rows[0]) + DECAY / max(1, len(used)) * table,
             np.stack([-d_rows, d_rows]), np.array([-g.sum(), g.sum()], np.float32),
         )
         for i, (a, d) in enumerate(zip((table, rows, bias), grads)):

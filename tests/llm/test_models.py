@@ -68,6 +68,13 @@ def test_toxicity_held_out_and_unseen_spelling(labelled, documents):
     assert np.mean([score[2 * i + 1] > score[2 * i] for i in range(20)]) > 0.9
 
 
+def test_toxicity_of_few_documents_without_common_ngrams(documents, spark):
+    docs = documents([(i, f"word{i} other{i}") for i in range(6)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id bigint, toxic int")
+    scores = score_toxicity(docs, learn_toxicity(docs, labels)).collect()
+    assert len(scores) == 6 and all(0 < r.score < 1 for r in scores)
+
+
 def test_attention_gradient_is_right():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(12, 5))
