@@ -1,12 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman scores them.
+"""Benchmark decontamination: n-gram seeds join passages to test items, Smith-Waterman scores them.
 
-The word 3-grams of the test items are counted in the whole corpus. The rarer half of each item's
-n-grams are its seeds. A passage of a document that shares at least two seeds with an item, at about
+All word 3-grams of the test items are seeds, frequent ones too: those that occur in the corpus at all may be the
+only ones that edits left. A passage of a document that shares at least two seeds with an item, at about
 the same distance from each other, is aligned with the item word by word, so copies with changed, left
 out or added words are found and get a score.
 
 Test items are a query set: they go to every task in blocks of a bounded number of words, and every
-block meets all documents. Nothing is shuffled but one number per seed and task.
+block meets all documents. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -56,25 +56,7 @@ class Items:
         order = np.argsort(grams, kind="stable")
         self.gram, self.item, self.place = grams[order], item[order], place[order]
         self.seed = np.unique(self.gram)
-
-    def keep_rare(self, counts: np.ndarray) -> None:
-        """Keep the n-grams that are not more frequent in the corpus than their item's median one.
-
-        At least half of each item's n-grams stay, also where a third of all documents hold the item.
-        """
-        own = counts[np.searchsorted(self.seed, self.gram)]
-        keep = np.zeros(len(own), bool)
-        for i in range(len(self.words)):
-            mine = np.flatnonzero(self.item == i) if len(self.words) < 64 else self._of(i)
-            keep[mine] = own[mine] <= np.median(own[mine])
-        self.gram, self.item, self.place = self.gram[keep], self.item[keep], self.place[keep]
-        self.seed = np.unique(self.gram)
-
-    def _of(self, i: int) -> np.ndarray:
-        if not hasattr(self, "_order"):
-            self._order = np.argsort(self.item, kind="stable")
-            self._edges = np.searchsorted(self.item[self._order], np.arange(len(self.words) + 1))
-        return self._order[self._edges[i]:self._edges[i + 1]]
+        self.size = np.array([len(w) for w in self.words], np.int64)
 
 
 def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
@@ -92,77 +74,77 @@ def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
     return best, end
 
 
-def _windows(items: Items, words: np.ndarray):
-    """(item, first word, end word) of the passages of one text that share seeds with an item."""
-    grams, first = word_grams(words, np.zeros(len(words), np.int64), SEED_WORDS)
+def _windows(items: Items, grams: np.ndarray, first: np.ndarray, text: np.ndarray, edges: np.ndarray):
+    """(text, item, first word, end word) of the passages that share seeds with an item; those of one text and item do not overlap."""
     low = np.searchsorted(items.gram, grams, "left")
     many = np.searchsorted(items.gram, grams, "right") - low
     hit = np.flatnonzero(many)
     if not len(hit):
         return
-    at = np.repeat(first[hit], many[hit])
-    entry = np.repeat(low[hit] - (np.cumsum(many[hit]) - many[hit]), many[hit]) + np.arange(int(many[hit].sum()))
-    item, begin = items.item[entry], at - items.place[entry]  # where the item would begin
-    order = np.lexsort((begin, item))
-    item, begin, entry = item[order], begin[order], entry[order]
-    size = np.array([len(w) for w in items.words])[item]
+    many, low = many[hit], low[hit]
+    at = np.repeat(first[hit], many)
+    entry = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+    item, row, begin = items.item[entry], text[at], at - items.place[entry]  # where the item would begin
+    order = np.lexsort((begin, item, row))
+    item, row, begin = item[order], row[order], begin[order]
+    size = items.size[item]
     slack = np.maximum(2, SLACK * size).astype(np.int64)
     new = np.ones(len(item), bool)
-    new[1:] = (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > slack[1:])
+    new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > slack[1:])
     heads = np.flatnonzero(new)
-    for a, b in zip(heads, np.append(heads[1:], len(item))):
-        n = int(size[a])
-        if b - a < LEAST_SEEDS and n > SEED_WORDS + 1:
+    ends = np.append(heads[1:], len(item))
+    fit = (ends - heads >= LEAST_SEEDS) | (size[heads] <= SEED_WORDS + 1)
+    heads, ends = heads[fit], ends[fit]
+    row, item, size, slack = row[heads], item[heads], size[heads], slack[heads]
+    lo = np.maximum(edges[row], begin[heads] - slack)
+    hi = np.minimum(edges[row + 1], begin[ends - 1] + size + slack)
+    # Passages that overlap are searched as one, so that no copy is found twice.
+    k = 0
+    while k < len(row):
+        end, j = hi[k], k + 1
+        while j < len(row) and row[j] == row[k] and item[j] == item[k] and lo[j] < end:
+            end, j = max(end, hi[j]), j + 1
+        yield int(row[k]), int(item[k]), int(lo[k]), int(end)
+        k = j
+
+
+def _copies(want: np.ndarray, words: np.ndarray, lo: int, hi: int, threshold: float):
+    """(score, first word, end word) of all copies of an item in words[lo:hi], the best first, then those beside it."""
+    todo = [(lo, hi)]
+    while todo:
+        lo, hi = todo.pop()
+        passage = words[lo:hi]
+        # No alignment scores more than the item's words that the passage has.
+        if len(passage) < threshold * len(want) or np.isin(want, passage).sum() < threshold * len(want):
+            continue
+        score, stop = alignment(want, passage)
+        if score < threshold * len(want):
             continue
-        yield int(item[a]), max(0, int(begin[a]) - int(slack[a])), min(len(words), int(begin[b - 1]) + n + int(slack[a]))
+        _, back = alignment(want[::-1], passage[:stop][::-1])
+        yield score / len(want), lo + stop - back, lo + stop
+        todo += [(lo, lo + stop - back), (lo + stop, hi)]
 
 
 def matches(items: Items, batch_text: pa.Array, threshold: float):
     """(row, item, score, start byte, end byte) of all contaminated passages of a column of texts."""
+    if not len(items.seed):
+        return
     at, raw = text_buffer(batch_text)
     for a, b in text_groups(at):
         h, start, end, text = _HASHER.words(at[a:b + 1], raw)
-        # Texts without any seed are the many; they are put aside together.
         grams, first = word_grams(h, text, SEED_WORDS)
-        place = np.minimum(np.searchsorted(items.seed, grams), max(0, len(items.seed) - 1))
-        found = text[first[items.seed[place] == grams]] if len(items.seed) else np.zeros(0, np.int64)
+        # Most n-grams are no seeds; they are put aside together.
+        place = np.minimum(np.searchsorted(items.seed, grams), len(items.seed) - 1)
+        found = items.seed[place] == grams
         edges = np.searchsorted(text, np.arange(b - a + 1))
-        for i in np.unique(found):
-            own = slice(edges[i], edges[i + 1])
-            words = h[own]
-            for item, lo, hi in _windows(items, words):
-                want, passage = items.words[item], words[lo:hi]
-                # No alignment scores more than the item's words that the passage has.
-                if np.isin(want, passage).sum() < threshold * len(want):
-                    continue
-                score, stop = alignment(want, passage)
-                if score < threshold * len(want):
-                    continue
-                _, back = alignment(want[::-1], passage[:stop][::-1])
-                first_word, last_word = edges[i] + lo + stop - back, edges[i] + lo + stop - 1
-                yield a + int(i), item, score / len(want), int(start[first_word] - at[a + i]), int(end[last_word] - at[a + i])
-
-
-def _count(sent):
-    def run(batches):
-        seed = sent.value
-        for batch in batches:
-            at, raw = text_buffer(batch.column("text"))
-            counts = np.zeros(len(seed), np.int64)
-            for a, b in text_groups(at):
-                h, _, _, text = _HASHER.words(at[a:b + 1], raw)
-                grams, _ = word_grams(h, text, SEED_WORDS)
-                place = np.minimum(np.searchsorted(seed, grams), len(seed) - 1)
-                counts += np.bincount(place[seed[place] == grams], minlength=len(seed))
-            there = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(counts[there])], ["seed", "n"])
-
-    return run
-
-
-def item_blocks(docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_text: str = "text", text_col: str = "text"):
-    """Broadcast blocks of test items with their rare seeds, counted over all of ``docs``."""
-    spark = docs.sparkSession
+        for i, item, lo, hi in _windows(items, grams[found], first[found], text, edges):
+            for score, first_word, end_word in _copies(items.words[item], h, lo, hi, threshold):
+                yield a + i, item, score, int(start[first_word] - at[a + i]), int(end[end_word - 1] - at[a + i])
+
+
+def item_blocks(items: DataFrame, item_id: str = "item_id", item_text: str = "text"):
+    """Broadcast blocks of test items with their seeds."""
+    spark = items.sparkSession
     slim = items.select(F.col(item_id).cast("bigint").alias("item"), F.coalesce(item_text, F.lit("")).alias("text"))
     words = F.size(F.split("text", r"\s+"))
     total = slim.agg(F.sum(words).alias("n")).first()["n"] or 0
@@ -170,17 +152,8 @@ def item_blocks(docs: DataFrame, items: DataFrame, item_id: str = "item_id", ite
     for k in range(n):
         rows = slim.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).orderBy("item", "text").toArrow()
         block = Items(rows["item"].to_pylist(), rows["text"].to_pylist())
-        if not len(block.seed):
-            continue
-        sent = spark.sparkContext.broadcast(block.seed)
-        found = (
-            docs.select(F.col(text_col).alias("text")).mapInArrow(_count(sent), "seed bigint, n bigint")
-            .groupBy("seed").agg(F.sum("n").alias("n")).toArrow()  # at most one row per seed
-        )
-        counts = np.zeros(len(block.seed), np.int64)
-        counts[found["seed"].to_numpy()] = found["n"].to_numpy()
-        block.keep_rare(counts)
-        yield spark.sparkContext.broadcast(block)
+        if len(block.seed):
+            yield spark.sparkContext.broadcast(block)
 
 
 def contaminated_passages(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
@@ -212,7 +185,7 @@ def contaminated_passages(docs: DataFrame, items: DataFrame, threshold: float =
         return run
 
     out = docs.sparkSession.createDataFrame([], schema)
-    for sent in item_blocks(docs, items, item_id, item_text, text_col):
+    for sent in item_blocks(items, item_id, item_text):
         out = out.unionByName(slim.mapInArrow(search(sent), schema))
     return out
 
@@ -231,6 +204,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRE
         return run
 
     out = docs
-    for sent in item_blocks(docs, items, item_id, item_text, text_col):
+    for sent in item_blocks(items, item_id, item_text):
         out = out.mapInArrow(keep(sent), docs.schema)
     return out

@@ -58,6 +58,36 @@ def test_blocks_of_items_change_nothing(spark, documents, leaks, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in contaminated_passages(documents(docs), table).collect()} == want
 
 
+@pytest.mark.parametrize("size, edits", [(20, 3), (50, 8), (40, 8), (40, 6), (40, 10), (60, 15)])
+@pytest.mark.parametrize("often", [False, True])
+def test_finds_copies_with_spread_substitutions(spark, documents, size, edits, often):
+    """15 to 25 % of the words replaced, and no unedited copy in the corpus; also where a third of the documents hold the edited one."""
+    rnd = random.Random(size + edits)
+    item = [f"q{i}" for i in range(size)]
+    copy = list(item)
+    for k in range(edits):
+        copy[(2 * k + 1) * size // (2 * edits)] = f"x{k}"
+    docs = []
+    for d in range(60):
+        words = prose(rnd, 80)
+        if d % 3 == 0 if often else d == 7:
+            at = rnd.randrange(len(words))
+            words[at:at] = copy
+        docs.append((d, " ".join(words)))
+    got = contaminated_passages(documents(docs), spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")).collect()
+    assert sorted(r.doc_id for r in got) == ([d for d in range(60) if d % 3 == 0] if often else [7])
+    # Edits at the ends may leave the copy's last words out.
+    assert all(1 - 1.5 * edits / size <= r.score <= 1 - 1.5 * (edits - 2) / size for r in got)
+
+
+def test_each_copy_is_one_passage(documents, spark):
+    """Frequent seeds between and around two copies neither join nor repeat them."""
+    item = "one two three of the kind four five six seven eight of the kind nine ten".split()
+    words = ["of", "the", "kind"] * 5 + item + ["of", "the", "kind"] * 4 + item + ["end"]
+    got = contaminated_passages(documents([(1, " ".join(words))]), spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")).collect()
+    assert len(got) == 2 and all(r.score == 1 for r in got)
+
+
 def test_alignment_equals_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(60):
