@@ -11,7 +11,10 @@ upper bound is entered in the next band too, so that any two sets that may link
 blocks are put in one global order and each set enters only its first d+1, where d bounds the
 differences it may have; two linked sets then share an entered block (prefix principle). The
 order (blocks found to be frequent last, then blocks of more elements first) only decides how much
-work there is; the result is exact for any order.
+work there is; the result is exact for any order. Empty blocks come last of all: they are blocks on which
+two sets may agree, so a set with fewer than d+1 others enters them too. As that happens often to
+small sets only, each shingle of those is a block of its own, which leaves no block empty: two linked sets
+share a shingle, and each has at most d that the other lacks.
 
 Groups of equal blocks are never expanded to all pairs. Each set is first compared with the one that
 leads most of its blocks, and the links found are contracted to components. Then, in rounds, one set of each
@@ -38,6 +41,8 @@ SHINGLE_WORDS = 5
 SIMILARITY = Fraction(4, 5)
 # Bits of the sketch that candidate pairs are tested with.
 SKETCH_WORDS = 4
+# Up to this size band (31 shingles) every shingle is a block.
+PLAIN_BAND = 4
 # Blocks listed as frequent; the list only orders blocks.
 FREQUENT_LIST = 1 << 17
 # A block is reported as frequent by a task if this many different sets of one Arrow batch have it.
@@ -105,16 +110,27 @@ def entered_blocks(n: np.ndarray, similarity: Fraction) -> np.ndarray:
 
 
 def block_keys(shingles: np.ndarray, rows: np.ndarray, n: int, up: bool, similarity: Fraction):
-    """(key, elements, row) of every non-empty block, in each set's own band or in the next one up."""
+    """(key, elements, row) of blocks, in each set's own band or in the next one up.
+
+    These are all blocks that have elements, and for a set that has fewer of them than it enters,
+    as many empty ones (0 elements) as it lacks, in order of the key.
+    """
     sizes = np.bincount(rows, minlength=n)
     band = np.floor(np.log2(np.maximum(sizes, 1))).astype(np.int64)
+    allowed = entered_blocks(sizes, similarity)
+    there = sizes > 0
     if up:  # only sets that may link with one of the next band
-        near = sizes * similarity.denominator >= similarity.numerator * (1 << (band + 1))
-        mine = near[rows]
+        there &= sizes * similarity.denominator >= similarity.numerator * (1 << (band + 1))
+        mine = there[rows]
         shingles, rows, band = shingles[mine], rows[mine], band + 1
-    blocks = band_blocks(band)
-    block = (mix(shingles, 21) % blocks[rows].astype(np.uint64)).astype(np.int64)
+    plain = band <= PLAIN_BAND
+    blocks = np.where(plain, sizes, band_blocks(band))
     base = np.concatenate([[0], np.cumsum(blocks)])
+    heads = np.searchsorted(rows, np.arange(n))
+    block = np.where(
+        plain[rows], np.arange(len(rows)) - heads[rows],
+        (mix(shingles, 21) % np.maximum(1, blocks[rows]).astype(np.uint64)).astype(np.int64),
+    )
     place = base[rows] + block
     order = np.argsort(place, kind="stable")
     place, values = place[order], mix(shingles, 22)[order]
@@ -124,10 +140,22 @@ def block_keys(shingles: np.ndarray, rows: np.ndarray, n: int, up: bool, similar
     parity = np.bitwise_xor.reduceat(values, heads)
     count = np.diff(np.append(heads, len(values)))
     row = np.searchsorted(base, place[heads], "right") - 1
-    where = (band[row] * (1 << 40) + place[heads] - base[row]).astype(np.uint64)
+    block = np.where(plain[row], 0, place[heads] - base[row])
+    key = _block_key(band[row], block, parity, count)
+    lacks = allowed - np.bincount(row, minlength=n)
+    own = row
+    for i in np.flatnonzero(there & ~plain & (lacks > 0)):
+        empty = np.setdiff1d(np.arange(blocks[i]), block[own == i])
+        more = np.sort(_block_key(np.full(len(empty), band[i]), empty, np.zeros(len(empty), np.uint64), np.zeros(len(empty), np.int64)))[:lacks[i]]
+        key, count, row = np.append(key, more), np.append(count, np.zeros(len(more), np.int64)), np.append(row, np.full(len(more), i))
+    return key, count, row
+
+
+def _block_key(band: np.ndarray, block: np.ndarray, parity: np.ndarray, count: np.ndarray) -> np.ndarray:
+    where = (band * (1 << 40) + block).astype(np.uint64)
     with np.errstate(over="ignore"):
         key = mix(parity ^ mix(where, 23)) + count.astype(np.uint64)
-    return signed(mix(key)), count, row
+    return signed(mix(key))
 
 
 def _first_of_each(names: np.ndarray) -> np.ndarray:
@@ -175,7 +203,7 @@ def _entries(words: int, seed: int, similarity: Fraction, frequent, only=None):
                     if not len(key):
                         continue
                     last = late[np.minimum(np.searchsorted(late, key), len(late) - 1)] == key if len(late) else np.zeros(len(key), bool)
-                    order = np.lexsort((key, -count, last, row))
+                    order = np.lexsort((key, -count, last & (count > 0), count == 0, row))
                     key, row = key[order], row[order]
                     heads = np.flatnonzero(np.diff(row, prepend=-1))
                     place = np.arange(len(row)) - np.repeat(heads, np.diff(np.append(heads, len(row))))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bloom import build_bloom, in_bloom
-from corpusloom.llm.byte_words import WordHasher, cut_long, text_buffer, word_grams
+from corpusloom.llm.byte_words import WordHasher, cut_long, mix, text_buffer, word_grams
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.exact_dedup import exact_dedup
 from corpusloom.llm.parity_join import band_blocks, block_keys, entered_blocks, jaccard_components
@@ -118,6 +118,48 @@ def test_linked_sets_share_an_entered_block():
             assert found[0] & found[1], n
 
 
+def share_an_entered_block(x, y):
+    values, rows = np.concatenate([np.sort(x), np.sort(y)]), np.repeat([0, 1], [len(x), len(y)])
+    allowed = entered_blocks(np.array([len(x), len(y)]), Fraction(4, 5))
+    found = [set(), set()]
+    for up in (False, True):
+        key, count, row = block_keys(values, rows, 2, up, Fraction(4, 5))
+        for i in (0, 1):
+            mine = row == i
+            found[i] |= set(key[mine][np.lexsort((key[mine], -count[mine]))][:allowed[i]].tolist())
+    return bool(found[0] & found[1])
+
+
+def test_small_linked_sets_share_an_entered_block():
+    """For all sizes up to 10 that may link, and so many draws that shingles meet in few blocks."""
+    rng = np.random.default_rng(2)
+    for a in range(1, 11):
+        for b in range(a, a * 5 // 4 + 1):
+            for both in range(-(-4 * (a + b) // 9), a + 1):  # common / (a + b - common) >= 4/5
+                for _ in range(500):
+                    v = rng.integers(0, 1 << 62, a + b - both).astype(np.uint64)
+                    assert share_an_entered_block(v[:a], v[a - both:]), (a, b, both)
+
+
+def crowded(rng, n, blocks, into):
+    """Values that band_blocks deals to the first ``into`` of ``blocks`` blocks."""
+    v = rng.integers(0, 1 << 62, (2 * n + 40) * blocks // into).astype(np.uint64)
+    return v[mix(v, 21) % np.uint64(blocks) < into][:n]
+
+
+@pytest.mark.parametrize("n", [4, 5, 8, 12, 16, 20, 31, 32, 40, 48, 51, 64, 100, 120])
+def test_linked_sets_in_few_blocks_share_an_entered_block(n):
+    """All shingles of both sets lie in as few blocks as the sets may differ in, or fewer, so all of those may be spoilt."""
+    rng = np.random.default_rng(n)
+    blocks = int(band_blocks(np.int64(np.log2(n))))
+    for more in range(n // 4 + 1):
+        for into in {1, max(1, more // 2), max(1, more), more + 1}:
+            for _ in range(6):
+                v = crowded(rng, n + more, blocks, min(into, blocks))
+                rng.shuffle(v)
+                assert len(v) == n + more and share_an_entered_block(v[:n], v)
+
+
 def test_blocks_are_enough():
     n = np.arange(1, 5000)
     band = np.floor(np.log2(n)).astype(int)
