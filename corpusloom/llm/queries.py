@@ -10,6 +10,7 @@ from corpusloom.llm.best_fit_packing import best_fit_packing
 from corpusloom.llm.cross_parsing import identify_language, learn_languages
 from corpusloom.llm.decontaminate import contaminated_passages
 from corpusloom.llm.exact_dedup import exact_dedup
+from corpusloom.llm.kd_shards import kd_shards
 from corpusloom.llm.masked_lm import learn_language_model, score_language_model
 from corpusloom.llm.mil_quality import learn_quality, score_quality
 from corpusloom.llm.parity_join import jaccard_components
@@ -112,6 +113,11 @@ def op10_language_id(spark, sf_dir):
     return identify_language(docs, learn_languages(docs))
 
 
+@_query
+def op13_kd_shards(spark, sf_dir):
+    return kd_shards(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
