@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.llm.best_fit_packing import best_fit_packing
 from corpusloom.llm.cross_parsing import identify_language, learn_languages
@@ -16,6 +17,7 @@ from corpusloom.llm.mil_quality import learn_quality, score_quality
 from corpusloom.llm.parity_join import jaccard_components
 from corpusloom.llm.subword_toxicity import learn_toxicity, score_toxicity
 from corpusloom.llm.token_counts import section_token_counts
+from corpusloom.llm.tree_negatives import mine_hard_negatives
 from corpusloom.llm.url_templates import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +115,33 @@ def op10_language_id(spark, sf_dir):
     return identify_language(docs, learn_languages(docs))
 
 
+@_query
+def op11_tree_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op11_tree_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS id, b.label AS other, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0),
+p AS (
+  SELECT * FROM s WHERE own = other AND id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+  s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE s.own <> s.other AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
+
 @_query
 def op13_kd_shards(spark, sf_dir):
     return kd_shards(_table(spark, sf_dir, "documents"))
