@@ -15,6 +15,7 @@ from corpusloom.llm.kd_shards import kd_shards
 from corpusloom.llm.masked_lm import learn_language_model, score_language_model
 from corpusloom.llm.mil_quality import learn_quality, score_quality
 from corpusloom.llm.parity_join import jaccard_components
+from corpusloom.llm.permuterm_variants import document_variants
 from corpusloom.llm.subword_toxicity import learn_toxicity, score_toxicity
 from corpusloom.llm.token_counts import section_token_counts
 from corpusloom.llm.tree_negatives import mine_hard_negatives
@@ -142,6 +143,37 @@ QUALIFY rank <= 5
 """
 
 
+@_query
+def op12_spelling_variants(spark, sf_dir):
+    return document_variants(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_spelling_variants"] = """
+WITH RECURSIVE
+tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+kinds AS (SELECT run, count(*) AS c, hex(encode(doc_id || ':' || run)) AS bytes FROM runs GROUP BY doc_id, run),
+hashed AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(bytes) // 2), lambda k: ('0x' || substr(bytes, 2 * k + 1, 2))::BIGINT)),
+  lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h FROM kinds, tab),
+words AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(c)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND n >= 2),
+cuts AS (SELECT word, n, unnest(range(length(word))) AS i FROM words),
+skips AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS less FROM cuts),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM skips a JOIN skips b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM skips a JOIN words b ON a.less = b.word
+  UNION SELECT b.word, a.word, a.n FROM skips a JOIN words b ON a.less = b.word),
+near AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS best, max(m) AS best_n FROM pairs GROUP BY word),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form, CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+  FROM words LEFT JOIN near USING (word)),
+chain AS (SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON c.next = f.word)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON f.word = c.word AND c.next IS NULL
+"""
+
+
 @_query
 def op13_kd_shards(spark, sf_dir):
     return kd_shards(_table(spark, sf_dir, "documents"))
