@@ -66,7 +66,7 @@ def products(rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
     """Exact inner products as 64-bit numbers; beyond their range the nearest one."""
     if not rows.size:
         return np.zeros(len(rows), np.int64)
-    if np.abs(rows).max() * np.abs(anchor).max() * rows.shape[1] < 1 << 53:
+    if float(np.abs(rows).max()) * float(np.abs(anchor).max()) * rows.shape[1] < 1 << 53:
         return (rows @ anchor).astype(np.int64)
     a = [int(x) for x in anchor]
     exact = [sum(int(x) * y for x, y in zip(row, a)) for row in rows]
