@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import index_key as key_of
+from corpusloom.operators import buckets as A
 from corpusloom.operators import chunks as K
 from corpusloom.operators import embedding as E
 from corpusloom.operators import neighbours as N
@@ -196,8 +197,19 @@ def vector_top_k_blocks(spark, sf):
     return N.vector_top_k(_vectors(spark, sf), _vector_queries(spark, sf), 10, query_block=200)
 
 
+@query(f"WITH {EXACT_SQL} SELECT query_id, id, score, rank FROM exact WHERE rank <= 10")
+def vector_top_k_all_buckets(spark, sf):
+    """Looking into all buckets of every table gives the exact hits."""
+    return A.vector_top_k_buckets(_vectors(spark, sf), _vector_queries(spark, sf), 10, probes=1 << A.MAX_BITS, tables=2, bits=5)
+
+
 @query()
 def vector_top_k_ann(spark, sf):
+    return A.vector_top_k_buckets(_vectors(spark, sf), _vector_queries(spark, sf), 10)
+
+
+@query()
+def vector_top_k_codes(spark, sf):
     dim = len(_vectors(spark, sf).first()["vector"])
     return N.vector_top_k_ann(_vectors(spark, sf), _vector_queries(spark, sf), 10, dim)
 
