@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,44 +117,83 @@ def allowed_pairs(index: DataFrame, asked: DataFrame, kinds: set[tuple[bool, boo
     return reduce(DataFrame.unionByName, pairs) if pairs else None
 
 
-def score_text(index: DataFrame, questions: DataFrame) -> DataFrame:
-    """(question_id, id, score): BM25 of every document that shares a word with a question.
+class Matches(NamedTuple):
+    """What a table of questions asks of a collection, ready to be summed up.
 
-    Questions restricted to a file or a field value keep only the documents allowed to
-    them; word statistics always come from the whole index.
+    ``weights`` (question_id, term, df, top, w) of all questions, where ``top`` is the term's greatest damping; ``damped``
+    (id, term, t) is what a term adds to a document's score per unit of weight; ``allowed`` (question_id, id) the documents of restricted questions, None
+    if there are none; ``free`` the ids of the other questions.
     """
-    terms = materialize(question_terms(questions), "terms")
-    n_terms = terms.count()
-    # The matched postings are read for the document frequencies and again for the scores.
-    found = materialize(postings(index, terms.select("term").distinct(), n_terms), "postings")
-    length = F.col("n_terms") if "n_terms" in index.columns else F.size(searchable_words(index))
-    stats = index.select(length.alias("dl")).agg(F.struct(F.count("*").alias("n"), F.avg("dl").alias("avgdl")))
-    whole = stats.scalar()
-    frequency = found.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (whole["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = terms.join(frequency, "term").select("question_id", "term", (F.col("qtf") * idf).alias("w"))
+
+    weights: DataFrame
+    damped: DataFrame
+    n_weights: int
+    allowed: DataFrame | None
+    free: DataFrame
+
+
+def match(found: DataFrame, terms: DataFrame, n_terms: int, docs: DataFrame, length: Column, questions: DataFrame) -> Matches:
+    """Weights and dampings from the postings ``found`` (id, dl, term, tf) of the words asked for.
+
+    ``docs`` is the whole collection (id, file_name, custom_field); word statistics always come from all of it.
+    """
+    # Two numbers, worked out once; a subquery would count the words of all texts again in every later step.
+    stats = docs.select(length.alias("dl")).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
+    whole = {"n": F.lit(stats["n"]), "avgdl": F.lit(stats["avgdl"] or 1.0)}
     damp = F.col("tf") + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / whole["avgdl"])
     damped = found.select("id", "term", (F.col("tf") * F.lit(K1 + 1) / damp).alias("t"))
+    frequency = damped.groupBy("term").agg(F.count("*").alias("df"), F.max("t").alias("top"))
+    idf = F.log(1 + (whole["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    # One row per word of a question; every later step reads it.
+    weights = materialize(
+        terms.join(frequency, "term").select("question_id", "term", "df", "top", (F.col("qtf") * idf).alias("w")), "weights",
+    )
 
     asked = _asked_filters(questions)
     named, valued = F.col("file_name").isNotNull(), F.col("custom_field").isNotNull()
     # At most four rows.
     kinds = {tuple(r) for r in asked.select(named, valued).distinct().collect()}
-    allowed = allowed_pairs(index, asked, kinds)
-
-    def scores(of: DataFrame, n: int) -> DataFrame:
-        parts = damped.join(small_enough(of, n), "term")
-        return parts.groupBy("question_id", "id").agg(F.round(F.sum(F.col("w") * F.col("t")), 6).alias("score"))
-
-    if allowed is None:
-        return scores(weights, n_terms)
-    free = weights.join(asked.filter(~(named | valued)).select("question_id"), "question_id", "left_semi")
-    # Restricted questions meet the allowed documents first and only the words of those are scored.
-    narrow = (
-        allowed.join(damped, "id").join(weights, ["question_id", "term"])
-        .groupBy("question_id", "id").agg(F.round(F.sum(F.col("w") * F.col("t")), 6).alias("score"))
-    )
-    return scores(free, n_terms).unionByName(narrow)
+    free = asked.filter(~(named | valued)).select("question_id")
+    allowed = allowed_pairs(docs, asked, kinds)
+    return Matches(weights, damped, n_terms, None if allowed is None else materialize(allowed, "allowed"), free)
+
+
+def _summed(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("question_id", "id").agg(F.round(F.sum(F.col("w") * F.col("t")), 6).alias("score"))
+
+
+def free_weights(m: Matches) -> DataFrame:
+    return m.weights if m.allowed is None else m.weights.join(m.free, "question_id", "left_semi")
+
+
+def restricted_scores(m: Matches) -> DataFrame:
+    """Restricted questions meet their allowed documents first and only the words of those are scored."""
+    return _summed(m.allowed.join(m.damped, "id").join(m.weights, ["question_id", "term"]))
+
+
+def all_scores(m: Matches) -> DataFrame:
+    """(question_id, id, score) of every document that shares a word with a question and is allowed to it."""
+    scored = _summed(m.damped.join(small_enough(free_weights(m), m.n_weights), "term"))
+    return scored if m.allowed is None else scored.unionByName(restricted_scores(m))
+
+
+def index_matches(index: DataFrame, questions: DataFrame) -> Matches:
+    """Matches against index rows, whose texts are split into words here."""
+    terms = materialize(question_terms(questions), "terms")
+    n_terms = terms.count()
+    # The matched postings are read for the document frequencies and again for the scores.
+    found = materialize(postings(index, terms.select("term").distinct(), n_terms), "postings")
+    length = F.col("n_terms") if "n_terms" in index.columns else F.size(searchable_words(index))
+    return match(found, terms, n_terms, index, length, questions)
+
+
+def score_text(index: DataFrame, questions: DataFrame) -> DataFrame:
+    """(question_id, id, score): BM25 of every document that shares a word with a question.
+
+    Questions restricted to a file or a field value keep only the documents allowed to
+    them; word statistics always come from the whole index.
+    """
+    return all_scores(index_matches(index, questions))
 
 
 def total_count(hits: DataFrame) -> DataFrame:
@@ -170,20 +213,161 @@ def top_k(scored: DataFrame, k: int | None, by: tuple[str, ...] = ("question_id"
     return scored.withColumn("rank", F.row_number().over(ranked).cast("bigint")).filter(F.col("rank") <= k)
 
 
-def search_text(index: DataFrame, questions: DataFrame, k: int | None = None,
-                hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """(question_id, id, score, rank, total_count) of the matching documents, best first.
+# The strongest words of a question are looked at first, until they have this many documents for each hit wanted.
+FIRST_LOOK = 20
+# Rows that a task holds before it sorts out the best.
+LOCAL_ROWS = 1 << 19
+# Scores are rounded to six places; bounds are compared with room for that.
+ROOM = 2e-6
 
-    ``index`` has id, file_name and any of the searchable columns; ``questions`` has
-    question_id, question and optionally file_name and custom_field.
+
+def bounded_weights(m: Matches, k: int) -> DataFrame:
+    """Free weights with ``floor``, ``needed`` and ``rest``, from which documents that cannot be among the best are told.
+
+    What a word can add to any score is bounded by its weight times its greatest damping. The documents with the
+    largest sums over a question's strongest words are scored in full, and the k-th of these scores is a ``floor``
+    for the k-th best. Words whose bounds together stay below it are not ``needed``: a document that has none of
+    the others cannot get there. ``rest`` is the sum of the bounds of the words that are not needed.
+    """
+    weights = free_weights(m).withColumn("bound", F.col("w") * F.col("top"))
+    strongest = Window.partitionBy("question_id").orderBy(F.desc("bound"), "term")
+    seen = F.coalesce(F.sum("df").over(strongest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lead = weights.withColumn("_seen", seen).filter(F.col("_seen") < FIRST_LOOK * k).select("question_id", "term", "w")
+    first = top_k(_summed(m.damped.join(small_enough(lead, m.n_weights), "term")), k).select("question_id", "id")
+    # At most k documents for each question, of which there are not more than there are weights.
+    whole = _summed(m.damped.join(small_enough(first, k * m.n_weights), "id").join(weights, ["question_id", "term"]))
+    floors = whole.groupBy("question_id").agg(
+        F.when(F.count("*") >= k, F.min("score") - ROOM).otherwise(0.0).alias("floor"),
+    )
+    weakest = Window.partitionBy("question_id").orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = weights.join(floors, "question_id").withColumn("_upto", F.sum("bound").over(weakest))
+    ranked = ranked.withColumn("needed", F.col("_upto") >= F.col("floor"))
+    rest = F.max(F.when(~F.col("needed"), F.col("_upto"))).over(Window.partitionBy("question_id"))
+    return materialize(ranked.withColumn("rest", F.coalesce(rest, F.lit(0.0))).drop("_upto"), "bounds")
+
+
+def best_scores(m: Matches, k: int) -> DataFrame:
+    """(question_id, id, score) of the free questions, with at least every document that is among a question's ``k`` best.
+
+    Only needed words are summed up for all documents; the others are added for documents that can still pass the floor.
+    """
+    weights = bounded_weights(m, k)
+    needed = weights.filter("needed").select("question_id", "term", "w", "floor", "rest")
+    by_document = m.damped.repartition("id")  # sums per document need no further shuffle
+    passing = (
+        by_document.join(small_enough(needed, m.n_weights), "term").groupBy("question_id", "id", "floor", "rest")
+        .agg(F.sum(F.col("w") * F.col("t")).alias("_sum")).filter(F.col("_sum") + F.col("rest") >= F.col("floor"))
+    )
+    others = weights.filter(~F.col("needed")).groupBy("question_id").agg(F.collect_list(F.struct("term", "w")).alias("_words"))
+    open_ = passing.join(small_enough(others, m.n_weights), "question_id", "left")
+    rows = open_.select("question_id", "id", "_sum", F.explode_outer("_words").alias("_word")).select(
+        "question_id", "id", "_sum", F.col("_word.term").alias("term"), F.col("_word.w").alias("w"),
+    )
+    added = rows.join(m.damped, ["id", "term"], "left").groupBy("question_id", "id", "_sum").agg(
+        F.coalesce(F.sum(F.col("w") * F.col("t")), F.lit(0.0)).alias("_more"),
+    )
+    return added.select("question_id", "id", F.round(F.col("_sum") + F.col("_more"), 6).alias("score"))
+
+
+def local_best(scored: DataFrame, k: int, hold: int = LOCAL_ROWS) -> DataFrame:
+    """(question_id, id, score, n): each task's ``k`` best rows per question, and a row with the number of all of them.
+
+    Rows go through in one pass and only ``k`` + 1 per question leave a task.
     """
-    scored = materialize(score_text(index, questions), "scores")
-    ranked = top_k(scored, k, hot_rows=hot_rows)
+    order = [("question_id", "ascending"), ("score", "descending"), ("id", "ascending")]
+
+    def best(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(order).combine_chunks()
+        if not len(rows):
+            return rows
+        asked = rows["question_id"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        first = np.flatnonzero(np.diff(asked, prepend=-1))
+        place = np.arange(len(asked)) - np.repeat(first, np.diff(np.append(first, len(asked))))
+        return rows.filter(pa.array(place < k))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, held, n, counts = None, [], 0, []
+
+        def settle():
+            rows = pa.Table.from_batches(held)
+            counts.append(rows.group_by("question_id").aggregate([("id", "count")]))
+            if len(counts) > 16:
+                counts[:] = [pa.concat_tables(counts).group_by("question_id").aggregate([("id_count", "sum")]).rename_columns(counts[0].column_names)]
+            return best(rows if kept is None else pa.concat_tables([kept, rows]))
+
+        for batch in batches:
+            held.append(batch)
+            n += len(batch)
+            if n >= hold:
+                kept, held, n = settle(), [], 0
+        if held:
+            kept = settle()
+        if kept is None:
+            return
+        total = pa.concat_tables(counts).group_by("question_id").aggregate([("id_count", "sum")]).combine_chunks()
+        form = pa.schema([(c, kept[c].type) for c in ("question_id", "id", "score")] + [("n", pa.int64())])
+        none = lambda n, c: pa.nulls(n, form.field(c).type)
+        found = [kept["question_id"], kept["id"], kept["score"], none(len(kept), "n")]
+        counted = [total["question_id"], none(len(total), "id"), none(len(total), "score"), total["id_count_sum"]]
+        for columns in (found, counted):
+            yield from pa.Table.from_arrays(columns, schema=form).to_batches()
+
+    kinds = dict(scored.dtypes)
+    return scored.select("question_id", "id", "score").mapInArrow(
+        scan, f"question_id {kinds['question_id']}, id {kinds['id']}, score double, n bigint",
+    )
+
+
+def counted_hits(m: Matches, k: int) -> DataFrame:
+    """(question_id, id, score, rank, total_count) of each question's ``k`` best documents.
+
+    Counting looks at every matching document, so all are summed up, in tasks that hold whole documents: no row per
+    question and document is written or shuffled, only ``k`` rows and a count per question and task.
+    """
+    scored = _summed(m.damped.repartition("id").join(small_enough(free_weights(m), m.n_weights), "term"))
+    if m.allowed is not None:
+        scored = scored.unionByName(restricted_scores(m))
+    best = materialize(local_best(scored, k), "best")
+    counts = best.filter("n IS NOT NULL").groupBy("question_id").agg(F.sum("n").alias("total_count"))
+    ranked = top_k(best.filter("n IS NULL").drop("n"), k)
+    return ranked.join(counts, "question_id").select("question_id", "id", "score", "rank", "total_count")
+
+
+def best_hits(m: Matches, k: int) -> DataFrame:
+    """(question_id, id, score, rank) of each question's ``k`` best documents, summed up only where they can be among them."""
+    scored = best_scores(m, k)
+    if m.allowed is not None:
+        scored = scored.unionByName(restricted_scores(m))
+    return top_k(scored, k).select("question_id", "id", "score", "rank")
+
+
+def all_hits(m: Matches, questions: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """(question_id, id, score, rank, total_count) of all matching documents, best first."""
+    scored = materialize(all_scores(m), "scores")
+    ranked = top_k(scored, None, hot_rows=hot_rows)
     return ranked.join(small_enough(total_count(scored), questions.count()), "question_id").select(
         "question_id", "id", "score", "rank", "total_count",
     )
 
 
+def hits(m: Matches, questions: DataFrame, k: int | None = None, counts: bool = True,
+         hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    if k is None:
+        return all_hits(m, questions, hot_rows)
+    return counted_hits(m, k) if counts else best_hits(m, k)
+
+
+def search_text(index: DataFrame, questions: DataFrame, k: int | None = None,
+                hot_rows: int = DEFAULT_HOT_ROWS, counts: bool = True) -> DataFrame:
+    """(question_id, id, score, rank, total_count) of the matching documents, best first.
+
+    ``index`` has id, file_name and any of the searchable columns; ``questions`` has
+    question_id, question and optionally file_name and custom_field. With ``k`` and without ``counts``
+    there is no total_count, and documents that cannot be among the ``k`` best are left out early.
+    """
+    return hits(index_matches(index, questions), questions, k, counts, hot_rows)
+
+
 def attach_hit_text(ranked: DataFrame, index: DataFrame, text: str = "text") -> DataFrame:
     """Text of the ranked hits; joined last, so that only their bodies move on.
 

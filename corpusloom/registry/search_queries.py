@@ -80,6 +80,11 @@ def search_text_top10(spark, sf):
     return S.search_text(index(spark, sf), questions(spark, sf), 10)
 
 
+@query(f"WITH {INDEX_SQL}, {QUESTIONS_SQL}, {HITS_SQL} SELECT question_id, id, score, rank FROM ranked WHERE rank <= 10")
+def search_text_best10(spark, sf):
+    return S.search_text(index(spark, sf), questions(spark, sf), 10, counts=False)
+
+
 @query(f"WITH {INDEX_SQL}, {QUESTIONS_SQL}, {HITS_SQL} SELECT question_id, count(*) AS total_count FROM hits GROUP BY question_id")
 def total_count(spark, sf):
     return S.total_count(S.score_text(index(spark, sf), questions(spark, sf)))

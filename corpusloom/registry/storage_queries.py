@@ -10,14 +10,17 @@ from corpusloom.operators.sharding import assign_endpoint
 from corpusloom.operators.tracking import fold_tracking, state_record
 from corpusloom.registry.base import (
     CATALOG_SQL, ENDPOINTS, INDEX_SQL, MESSAGES_SQL, TRACKING_SQL,
-    catalog, index, messages, query, table, texts, tracking, tracking_of,
+    QUESTIONS_SQL, catalog, index, messages, query, questions, table, texts, tracking, tracking_of,
 )
+from corpusloom.registry.search_queries import HITS_SQL
 from corpusloom.registry.tracking_queries import FOLD_SQL, RECORD, record
 from corpusloom.schemas import MESSAGE
 from corpusloom.session import scratch_path
 from corpusloom.sources import documents as D
+from corpusloom.sources import index_log as G
 from corpusloom.sources import index_table as X
 from corpusloom.sources import queues as Q
+from corpusloom.sources import term_table as W
 from corpusloom.sources import tracking_log as L
 from corpusloom.streaming import stages as S
 
@@ -85,6 +88,48 @@ def write_index(spark, sf):
     )
 
 
+@query(f"""WITH {INDEX_SQL} SELECT id, file_name, CASE WHEN list_contains(custom_field, 'de') THEN 'new' ELSE 'old' END AS upload,
+  md5(text) AS text_hash FROM idx WHERE NOT list_contains(custom_field, 'es')""")
+def append_index(spark, sf):
+    path = scratch_path(spark, "index")
+    rows = index(spark, sf)
+    first = G.append_index(rows.withColumn("description", F.lit("old")), path)
+    again = rows.filter(F.array_contains("custom_field", "de")).withColumn("description", F.lit("new"))
+    second = G.append_index(again, path)
+    G.append_index(again, path, second)  # the same upload once more
+    G.compact_index(spark, path)
+    # Files without rows any more.
+    G.append_index(rows.limit(0).withColumn("description", F.lit("")), path, files=rows.filter(F.array_contains("custom_field", "es")))
+    return G.read_current(spark, path).select(
+        "id", "file_name", F.col("description").alias("upload"), F.md5(F.col("text").cast("binary")).alias("text_hash"),
+    )
+
+
+def _term_table(spark, sf):
+    """The words of the index in two uploads, of which the second replaces files of the first."""
+    path = scratch_path(spark, "terms")
+    rows = index(spark, sf)
+    old = F.array_contains("custom_field", "de")
+    W.append_terms(rows.withColumn("text", F.when(old, "an older text").otherwise(F.col("text"))), path)
+    W.append_terms(rows.filter(old), path)
+    return path
+
+
+@query(f"WITH {INDEX_SQL}, {QUESTIONS_SQL}, {HITS_SQL} SELECT question_id, id, score, rank, total_count FROM ranked")
+def search_terms(spark, sf):
+    return W.search_terms(spark, _term_table(spark, sf), questions(spark, sf))
+
+
+@query(f"WITH {INDEX_SQL}, {QUESTIONS_SQL}, {HITS_SQL} SELECT question_id, id, score, rank, total_count FROM ranked WHERE rank <= 10")
+def search_terms_top10(spark, sf):
+    return W.search_terms(spark, _term_table(spark, sf), questions(spark, sf), 10)
+
+
+@query(f"WITH {INDEX_SQL}, {QUESTIONS_SQL}, {HITS_SQL} SELECT question_id, id, score, rank FROM ranked WHERE rank <= 10")
+def search_terms_best10(spark, sf):
+    return W.search_terms(spark, _term_table(spark, sf), questions(spark, sf), 10, counts=False)
+
+
 @query("""SELECT '"documents_index"' AS name, count(*) AS n_rows, count(DISTINCT lang) AS n_languages FROM documents""")
 def ensure_index(spark, sf):
     name, path = "documents_index", scratch_path(spark, "index")
