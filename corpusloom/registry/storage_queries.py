@@ -22,6 +22,7 @@ from corpusloom.sources import index_table as X
 from corpusloom.sources import queues as Q
 from corpusloom.sources import term_table as W
 from corpusloom.sources import tracking_log as L
+from corpusloom.streaming import keyed as K
 from corpusloom.streaming import stages as S
 
 
@@ -173,6 +174,19 @@ def tracking_state_stream(spark, sf):
     return record(state_record(newest))
 
 
+@query(f"WITH {TRACKING_SQL}, {FOLD_SQL} SELECT {RECORD} FROM folded")
+def tracking_records_stream(spark, sf):
+    path, waiting = scratch_path(spark, "records"), scratch_path(spark, "waiting")
+    events = tracking(spark, sf)
+    checkpoint = scratch_path(spark, "checkpoint")
+    # First every second event, then all, so that half are delivered twice; some documents are forgotten in between.
+    for name, some in (("first", events.filter("seq % 2 = 0")), ("all", events)):
+        some.write.parquet(f"{waiting}/{name}")
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(waiting)
+        K.tracking_records_stream(stream, S.batch_folder(path), checkpoint, "Sent to queue2", 0.001).awaitTermination()
+    return record(K.merge_records(spark.read.parquet(path)))
+
+
 @query(f"""WITH {CATALOG_SQL} SELECT file_name AS source_file_name, 'https://e' || doc_id % 10 % 3 AS endpoint
   FROM catalog WHERE processed IS NULL""")
 def ingest_stream(spark, sf):
