@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import empty_strings
-from corpusloom.operators.catalog import filter_processed, filter_queued_before
+from corpusloom.operators.catalog import filter_processed, filter_queued_before, queue_report
 from corpusloom.operators.sharding import N_SHARDS, assign_endpoint, assign_shard
 from corpusloom.sources.tracking_log import assign_ids
 
@@ -26,3 +27,17 @@ def ingest_plan(catalog: DataFrame, endpoints: list[str], force: bool = False,
         "recognizer_index", empty_strings().alias("custom_fields"), "endpoint",
     )
     return assign_ids(messages)
+
+
+class Ingest(NamedTuple):
+    """The messages to send, and how many files were queued or skipped for which reason."""
+
+    messages: DataFrame
+    report: DataFrame
+
+
+def ingest(catalog: DataFrame, endpoints: list[str], force: bool = False, queued_date: datetime | str | None = None,
+           n_shards: int = N_SHARDS, mode: str = "exact", by: tuple[str, ...] = ()) -> Ingest:
+    """The ingest plan with its report; both follow one rule of what is skipped."""
+    messages = ingest_plan(catalog, endpoints, force, queued_date, n_shards, mode)
+    return Ingest(messages, queue_report(catalog, force, queued_date, by))

@@ -9,10 +9,15 @@ from corpusloom.operators.messages import decode_messages
 from corpusloom.operators.sharding import assign_endpoint
 from corpusloom.operators.tracking import fold_tracking, state_record
 from corpusloom.registry.base import (
-    CATALOG_SQL, ENDPOINTS, INDEX_SQL, MESSAGES_SQL, TRACKING_SQL,
-    QUESTIONS_SQL, catalog, index, messages, query, questions, table, texts, tracking, tracking_of,
+    CATALOG_SQL, ENDPOINTS, INDEX_SQL, QUEUED_DATE, RUN_TIME, MESSAGES_SQL, TRACKING_SQL,
+    QUESTIONS_SQL, catalog, index, messages, messages_with_text, query, questions, table, texts, tracking, tracking_of,
 )
-from corpusloom.registry.search_queries import HITS_SQL
+from corpusloom.plans.extraction import extract_and_store as store_texts
+from corpusloom.plans.indexing import index_and_store
+from corpusloom.plans.ingest import ingest
+from corpusloom.registry.catalog_queries import LATER
+from corpusloom.registry.search_queries import CHUNK_INDEX_SQL, HITS_SQL
+from corpusloom.registry.text_queries import PAGE_TEXT_SQL
 from corpusloom.registry.tracking_queries import FOLD_SQL, RECORD, record
 from corpusloom.schemas import MESSAGE
 from corpusloom.session import scratch_path
@@ -23,6 +28,7 @@ from corpusloom.sources import queues as Q
 from corpusloom.sources import term_table as W
 from corpusloom.sources import tracking_log as L
 from corpusloom.streaming import keyed as K
+from corpusloom.streaming import redelivery as R
 from corpusloom.streaming import stages as S
 
 
@@ -225,6 +231,22 @@ def dead_letter(spark, sf):
     return S.dead_letter(spark.read.parquet(bad), max_attempts=3)
 
 
+@query("""SELECT doc_id, least(doc_id % 4 + 1, 3) AS attempts, doc_id % 4 < 3 AS done FROM documents""")
+def redelivery(spark, sf):
+    waiting, done, dead = (scratch_path(spark, x) for x in ("queue", "stage", "dead"))
+    schema = T.StructType([T.StructField("doc_id", T.LongType())])
+    Q.send(table(spark, sf, "documents").select("doc_id"), waiting)
+
+    def stage(batch):
+        read = decode_messages(batch, schema)
+        return read.withColumn("reject_reason", F.when(F.col("attempt") <= F.col("doc_id") % 4, "not yet"))
+
+    R.drain(spark, waiting, stage, S.batch_folder(done), scratch_path(spark, "checkpoint"), dead, 3)
+    passed = spark.read.parquet(done).select("doc_id", F.col("attempt").alias("attempts"), F.lit(True).alias("done"))
+    given_up = decode_messages(spark.read.parquet(dead), schema).select("doc_id", F.col("attempt").alias("attempts"), F.lit(False).alias("done"))
+    return passed.unionByName(given_up)
+
+
 FILES_SQL = """SELECT 'name=my doc ' || doc_id || '+x/' AS folder, md5(text || chr(10)) AS text_hash FROM documents"""
 
 
@@ -246,3 +268,48 @@ def list_files(spark, sf):
 def read_text_files(spark, sf):
     read = D.read_texts(spark, _files(spark, sf), glob="*.txt")
     return read.select(F.regexp_extract("processed_name", "^.*/", 0).alias("folder"), F.md5(F.col("text").cast("binary")).alias("text_hash"))
+
+
+@query(f"""WITH {CATALOG_SQL},
+  r AS (SELECT CASE WHEN processed IS NOT NULL THEN 'processed' WHEN {LATER} THEN 'queued_later' ELSE 'queued' END AS reason FROM catalog)
+  SELECT reason, count(*) AS n_files, CASE WHEN reason = 'queued' THEN count(*) ELSE 0 END AS n_messages FROM r GROUP BY reason""")
+def ingest_with_report(spark, sf):
+    """Every file that the report counts as queued has its message in the queue."""
+    run = ingest(catalog(spark, sf), ENDPOINTS, queued_date=QUEUED_DATE)
+    waiting = scratch_path(spark, "queue")
+    Q.send(run.messages, waiting)
+    sent = decode_messages(spark.read.text(waiting), MESSAGE).agg(F.count("source_file_name").alias("_n"))
+    return run.report.select(
+        "reason", "n_files", F.when(F.col("reason") == "queued", sent.scalar()).otherwise(0).alias("n_messages"),
+    )
+
+
+@query(f"""WITH t AS (SELECT 'page' || page_id AS stem, {PAGE_TEXT_SQL} AS text FROM pages)
+  SELECT stem || '.html' AS source_file_name, CASE WHEN text <> '' THEN stem || '.md' END AS stored_name, CASE WHEN text <> '' THEN md5(text) END AS text_hash,
+    CASE WHEN text = '' THEN 'no text extracted' END AS reject_reason FROM t""")
+def extract_and_store(spark, sf):
+    store = scratch_path(spark, "texts")
+    name = F.concat(F.lit("page"), F.col("page_id").cast("string"), F.lit(".html"))
+    pages = table(spark, sf, "pages").select(name.alias("source_file_name"), "html")
+    sent = pages.select(
+        "source_file_name", F.lit("documents").alias("container_name"), F.lit("").alias("processed_file_name"), F.lit(0).alias("queued_at"),
+    )
+    out = store_texts(sent, pages, store, F.lit(RUN_TIME).cast("timestamp"))
+    stored = D.read_texts(spark, store, "parquet").select(F.col("processed_name").alias("stored_name"), F.md5(F.col("text").cast("binary")).alias("text_hash"))
+    rows = out.select("source_file_name", "reject_reason", F.when(F.col("reject_reason").isNull(), F.col("processed_file_name")).alias("stored_name"))
+    return rows.join(stored, "stored_name", "left")
+
+
+@query(f"""WITH {CHUNK_INDEX_SQL}, {QUESTIONS_SQL.replace("'src' || item_id % 20", "'requested'")}, {HITS_SQL}
+  SELECT question_id, id, score, rank, text_hash FROM ranked JOIN (SELECT id, md5(text) AS text_hash FROM idx) USING (id) WHERE rank <= 10""")
+def stored_index(spark, sf):
+    """Index rows and words stored in two uploads, the second over the first, then searched and read back."""
+    path = scratch_path(spark, "stored")
+    sent = messages_with_text(spark, sf)
+    again = F.pmod(F.xxhash64("processed_file_name"), F.lit(3)) == 0
+    index_and_store(sent.withColumn("text", F.when(again, F.lit("an older text")).otherwise(F.col("text"))), path, max_tokens=512, dim=64)
+    index_and_store(sent.filter(again), path, max_tokens=512, dim=64)
+    asked = questions(spark, sf).withColumn("custom_field", F.when(F.col("custom_field").isNotNull(), "requested"))
+    hits = W.search_terms(spark, f"{path}/terms", asked, 10, counts=False)
+    bodies = G.read_current(spark, f"{path}/index").select("id", F.md5(F.col("text").cast("binary")).alias("text_hash"))
+    return hits.join(bodies, "id")

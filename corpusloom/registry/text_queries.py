@@ -194,7 +194,10 @@ def _page_sql() -> str:
     return trim_sql(reduce(rule, PAGE_RULES, "html"))
 
 
-@query(f"""WITH t AS (SELECT page_id, url, {_page_sql()} AS text FROM pages)
+PAGE_TEXT_SQL = _page_sql()
+
+
+@query(f"""WITH t AS (SELECT page_id, url, {PAGE_TEXT_SQL} AS text FROM pages)
   SELECT page_id, url, text, CASE WHEN text = '' THEN 'no text extracted' END AS reject_reason FROM t""")
 def extract_text(spark, sf):
     return page_to_text(table(spark, sf, "pages")).select("page_id", "url", "text", "reject_reason")

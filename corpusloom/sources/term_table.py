@@ -24,11 +24,13 @@ def part_of(term: Column, n_parts: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(n_parts)).cast("int")
 
 
-def append_terms(index: DataFrame, path: str, version: int | None = None, n_parts: int = N_PARTS) -> int:
+def append_terms(index: DataFrame, path: str, version: int | None = None, n_parts: int = N_PARTS,
+                 files: DataFrame | None = None) -> int:
     """Add the words of index rows (id, file_name and searchable columns) as a new version, replacing their files' words.
 
     Words are counted per row before the shuffle, and grouped by row and word, so a word that every row has is spread over
-    all tasks. A table that exists keeps its number of parts, which is stored with the rows. Returns the version.
+    all tasks. A table that exists keeps its number of parts, which is stored with the rows.
+    ``files`` (file_name) may name the files, also ones without rows, as in ``append_index``. Returns the version.
     """
     spark = index.sparkSession
     version = V.next_upload(spark, path) if version is None else version
@@ -43,7 +45,7 @@ def append_terms(index: DataFrame, path: str, version: int | None = None, n_part
     words = array_rows(rows.withColumn("dl", F.size("_w")), ("id", "file_name", "dl"), "_w", "_at", "term")
     counted = words.groupBy("id", "file_name", "dl", "term").agg(F.count("*").alias("tf"))
     V.write_version(counted.withColumn("part", part_of(F.col("term"), n_parts)).sortWithinPartitions("part", "term"), path, POSTINGS, version, ("part",))
-    V.finish(spark.read.parquet(f"{path}/{DOCS}/version={version}"), path, version)
+    V.finish(spark.read.parquet(f"{path}/{DOCS}/version={version}") if files is None else files, path, version)
     return version
 
 
