@@ -16,6 +16,8 @@ from corpusloom.llm.byte_words import WordHasher
 
 # Words that a Python worker remembers; beyond it the memory starts afresh, with the same ids.
 REMEMBERED = 1 << 21
+# A character that stands between words which are encoded together, and how many words that are.
+MARK, TOGETHER = "\x1f", 256
 _LOADED: dict[str, "WordEncoder"] = {}
 
 
@@ -26,6 +28,10 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.hasher = WordHasher(5, fold_case=False)
+        mark = self._encode_words([MARK, f"a {MARK} b", "a", "b"])
+        one = mark[0].ids
+        # The id that stands between words encoded together, if this tokenizer has one for it.
+        self.mark = one[0] if len(one) == 1 and mark[1].ids == [*mark[2].ids, *one, *mark[3].ids] else None
         self._forget()
 
     @classmethod
@@ -48,16 +54,28 @@ class WordEncoder:
         if not len(fresh):
             return
         words = [raw[a:b].tobytes() for a, b in zip(start[fresh], end[fresh])]
-        found = [x.ids for x in self._encode_words([w.decode("utf-8", "replace") for w in words])]
+        ids, sizes = self._word_ids(words)
         n = len(self.text_at) - 1
         self.text = np.concatenate([self.text, np.frombuffer(b"".join(words), np.uint8)])
-        self.text_at = np.append(self.text_at, self.text_at[-1] + np.cumsum([len(w) for w in words]))
-        self.ids = np.concatenate([self.ids, np.array([*chain.from_iterable(found)], np.int32)])
-        self.ids_at = np.append(self.ids_at, self.ids_at[-1] + np.cumsum([len(x) for x in found]))
+        self.text_at = np.append(self.text_at, self.text_at[-1] + np.cumsum(end[fresh] - start[fresh]))
+        self.ids = np.concatenate([self.ids, ids])
+        self.ids_at = np.append(self.ids_at, self.ids_at[-1] + np.cumsum(sizes))
         at = np.searchsorted(self.known, h[fresh])  # the new hashes are in order too
         self.known = np.insert(self.known, at, h[fresh])
         self.entry = np.insert(self.entry, at, np.arange(n, n + len(fresh)))
 
+    def _word_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, ids per word). Many words go to the tokenizer as one text, with a mark after each."""
+        mark = MARK.encode()
+        if self.mark is None or mark in b"".join(words):
+            found = [x.ids for x in self._encode_words([w.decode("utf-8", "replace") for w in words])]
+            return np.array([*chain.from_iterable(found)], np.int32), np.array([len(x) for x in found], np.int64)
+        glue = b" " + mark + b" "
+        texts = [glue.join([*words[i:i + TOGETHER], b""]).decode("utf-8", "replace") for i in range(0, len(words), TOGETHER)]
+        ids = np.concatenate([np.array(x.ids, np.int32) for x in self._encode_words(texts)])
+        ends = np.flatnonzero(ids == self.mark)
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
     def _encode_words(self, words: list[str]):
         return self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
 

@@ -167,3 +167,15 @@ def test_given_sections(documents, encoding):
     assert got[3, -1].n_tokens == 1 and (2, 0) not in got
     with pytest.raises(ValueError):
         section_token_counts(docs, *encoding, rule="none")
+
+
+def test_words_encoded_together_have_their_own_ids():
+    import public_tokenizers
+
+    encoder = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert encoder.mark is not None
+    plain = lambda words: [encoder.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids for w in words]
+    words = [f"word{i}'s".encode() for i in range(700)] + ["Größe,".encode(), "漢字😀".encode(), b"...", b"x" * 3000, b"'ll"]
+    for some in (words, words[:1], [*words[:5], b"odd\x1fword", b"\x1f"], [b"\xc3", b"\xff\xfeab"]):
+        ids, sizes = encoder._word_ids(some)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == plain(some)
