@@ -150,6 +150,31 @@ def group_lag(df: DataFrame, keys: list[str], order, value: str, out: str,
     return windowed(cold).select(columns).unionByName(filled.select(columns))
 
 
+def group_running_sum(df: DataFrame, keys: list[str], order, value: str, out: str,
+                      hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Sum of ``value`` over the preceding rows of the same key; 0 on the first row."""
+    columns = [*df.columns, out]
+
+    def preceding(w: Window) -> Column:
+        return F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    def windowed(part: DataFrame) -> DataFrame:
+        return part.withColumn(out, preceding(Window.partitionBy(*keys).orderBy(*_columns(order))))
+
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return windowed(df)
+    cold, large = _split(df, hot, keys)
+    sliced = slice_rows(large, keys, order)
+    totals = sliced.groupBy("_slice", *keys).agg(F.sum(value).alias("_total"))
+    slices = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    seg = totals.withColumn("_carry", F.coalesce(F.sum("_total").over(slices), F.lit(0))).drop("_total")
+    inside = Window.partitionBy("_slice", *keys).orderBy("_row")
+    joined = _with_segments(sliced.withColumn("_inside", preceding(inside)), seg, keys)
+    summed = joined.withColumn(out, F.col("_carry") + F.col("_inside"))
+    return windowed(cold).select(columns).unionByName(summed.select(columns))
+
+
 def parts_by_position(df: DataFrame, keys: list[str], position: Column, order: list[Column], item: Column,
                       out: str = "items", part_size: int = 1000) -> DataFrame:
     """Ordered lists per key and part, where a part covers ``part_size`` positions counted from 0.

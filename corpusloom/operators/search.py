@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.rows import array_rows
 from corpusloom.functions.text import empty_strings, is_blank, stem, words
-from corpusloom.operators.ordering import DEFAULT_HOT_ROWS, group_position, parts_by_position
+from corpusloom.operators.ordering import DEFAULT_HOT_ROWS, group_position, group_running_sum, parts_by_position
 from corpusloom.session import BROADCAST_ROWS, BROADCAST_TEXTS, materialize, small_enough
 
 # Columns a query text is matched against, and the answer to a question without hits.
@@ -376,15 +376,41 @@ def attach_hit_text(ranked: DataFrame, index: DataFrame, text: str = "text") ->
     return index.select("id", F.col(text).alias("text")).join(small_enough(ranked), "id")
 
 
+def parts_by_bytes(hits: DataFrame, part_bytes: int, sep: str = "", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """(question_id, part, context): hit texts in rank order, in parts of at most ``part_bytes`` UTF-8 bytes.
+
+    A part takes the hits that begin within half of ``part_bytes``; a text longer than that half is a part of its own, and
+    one longer than ``part_bytes`` several, cut between characters.
+    """
+    half, piece = max(1, part_bytes // 2), max(1, part_bytes // 4)
+    sized = hits.select("question_id", "rank", "text", (F.octet_length("text") + len(sep.encode())).cast("bigint").alias("_size"))
+    placed = group_running_sum(sized, ["question_id"], ["rank"], "_size", "_before", hot_rows)
+    large = F.col("_size") > half
+    pieces = F.when(F.col("_size") > part_bytes, F.ceil(F.length("text") / F.lit(piece))).otherwise(1).cast("int")
+    cut = placed.select(
+        "question_id", "rank", "_size", F.floor(F.col("_before") / half).alias("_at"), large.alias("_large"), "text",
+        F.explode(F.sequence(F.lit(0), F.greatest(pieces, F.lit(1)) - 1)).alias("_piece"),
+    ).withColumn("text", F.when(F.col("_size") > part_bytes, F.substring("text", F.col("_piece") * piece + 1, F.lit(piece))).otherwise(F.col("text")))
+    at = F.struct("_at", "_large", F.when(F.col("_large"), F.col("rank")).otherwise(0).alias("rank"), "_piece")
+    parts = cut.groupBy("question_id", at.alias("_part")).agg(F.array_sort(F.collect_list(F.struct("rank", "text"))).alias("_list"))
+    numbered = group_position(parts, ["question_id"], ["_part"], "part", hot_rows)
+    return numbered.select(
+        "question_id", (F.col("part") - 1).cast("int").alias("part"), F.array_join(F.transform("_list", lambda x: x["text"]), sep).alias("context"),
+    )
+
+
 def assemble_context(hits: DataFrame, questions: DataFrame, sep: str = "",
-                     part_size: int = HITS_PER_PART) -> DataFrame:
-    """Hit texts in rank order per question, ``part_size`` hits to a row.
+                     part_size: int = HITS_PER_PART, part_bytes: int | None = None) -> DataFrame:
+    """Hit texts in rank order per question, ``part_size`` hits to a row, or as many as ``part_bytes`` hold.
 
     A question without hits keeps one row with status 204 and the fixed message.
     """
     at = F.col("rank")
-    parts = parts_by_position(hits, ["question_id"], at - 1, [at], F.col("text"), "_texts", part_size)
-    joined = parts.select("question_id", "part", F.array_join("_texts", sep).alias("context"))
+    if part_bytes is None:
+        parts = parts_by_position(hits, ["question_id"], at - 1, [at], F.col("text"), "_texts", part_size)
+        joined = parts.select("question_id", "part", F.array_join("_texts", sep).alias("context"))
+    else:
+        joined = materialize(parts_by_bytes(hits, part_bytes, sep), "parts")
     n = questions.count()
     # Two joins rather than one outer join, which would gather all parts of a question in one task.
     found = joined.join(small_enough(questions, n, BROADCAST_TEXTS), "question_id")

@@ -155,6 +155,20 @@ def answer_context(spark, sf):
     return answers(materialize(chunk_index(spark, sf), "index"), asked, 5)
 
 
+@query(f"""WITH {CHUNK_INDEX_SQL}, {QUESTIONS_SQL.replace("'src' || item_id % 20", "'requested'")}, {HITS_SQL},
+  texts AS (SELECT r.question_id, rank, total_count, i.text, octet_length(encode(i.text)) AS size FROM ranked r JOIN idx i USING (id)),
+  sums AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY question_id ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 8192 AS g, size > 8192 AS big FROM texts),
+  cut AS (SELECT question_id, g, big, string_agg(text, '' ORDER BY rank) AS context, max(total_count) AS n FROM sums GROUP BY 1, 2, 3),
+  parts AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY g, big) - 1 AS part FROM cut)
+  SELECT q.question_id, coalesce(CAST(part AS INTEGER), 0) AS part, CASE WHEN context IS NULL THEN 204 ELSE 200 END AS status, coalesce(n, 0) AS n_matches,
+    context, octet_length(encode(context)) <= 16384 AS fits FROM questions q LEFT JOIN parts USING (question_id)""")
+def answer_context_all(spark, sf):
+    """The texts of all matching chunks, in parts of at most 16 kB."""
+    asked = questions(spark, sf).withColumn("custom_field", F.when(F.col("custom_field").isNotNull(), "requested"))
+    rows = answers(materialize(chunk_index(spark, sf), "index"), asked, None, part_bytes=1 << 14)
+    return rows.select("question_id", "part", "status", "n_matches", "context", (F.octet_length("context") <= 1 << 14).alias("fits"))
+
+
 @query(f"""WITH {chunks_sql(64, 'SELECT doc_id AS k, text FROM documents')},
   u AS (SELECT k, chunk_pos, unnest({words_sql('chunk_text')}) AS w FROM chunks),
   b AS (SELECT k, chunk_pos, ('0x' || substr(md5(w), 1, 8))::BIGINT % 64 AS bucket, count(*) AS c FROM u GROUP BY 1, 2, 3)

@@ -1,5 +1,8 @@
 """Hot keys: the sliced way must give what a plain window gives."""
 
+import random
+
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -77,3 +80,29 @@ def test_history_with_hot_ids(spark, sf):
 def test_search_with_hot_questions(spark, sf):
     idx, asked = index(spark, sf), questions(spark, sf)
     assert rows(S.search_text(idx, asked, hot_rows=50)) == rows(S.search_text(idx, asked))
+
+
+def test_running_sums_of_hot_and_cold_keys(spark):
+    draw = random.Random(6)
+    rows = [(0 if draw.random() < 0.5 else draw.randrange(1, 6), i, draw.randrange(100)) for i in range(800)]
+    df = spark.createDataFrame(rows, "key int, at int, size int")
+    want, sums = [], {}
+    for key, at, size in rows:
+        want.append((key, at, size, sums.get(key, 0)))
+        sums[key] = sums.get(key, 0) + size
+    for hot_rows in (10_000, 50, 0):
+        got = O.group_running_sum(df, ["key"], ["at"], "size", "before", hot_rows)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+@pytest.mark.parametrize("limit,hot_rows", [(40, 10_000), (40, 3), (9, 0), (1000, 10_000)])
+def test_parts_never_exceed_their_bytes(spark, limit, hot_rows):
+    draw = random.Random(limit)
+    texts = ["".join(draw.choice("abé漢😀") for _ in range(draw.choice([0, 1, 3, 8, 30, 90]))) for _ in range(60)]
+    hits = spark.createDataFrame([(i % 4, i // 4 + 1, t) for i, t in enumerate(texts)], "question_id int, rank int, text string")
+    got = S.parts_by_bytes(hits, limit, "", hot_rows).collect()
+    assert all(len(r["context"].encode()) <= limit for r in got)
+    for q in range(4):
+        mine = sorted((r["part"], r["context"]) for r in got if r["question_id"] == q)
+        assert [p for p, _ in mine] == list(range(len(mine)))
+        assert "".join(c for _, c in mine) == "".join(texts[q::4])
