@@ -19,7 +19,7 @@ share a shingle, and each has at most d that the other lacks.
 Groups of equal blocks are never expanded to all pairs. Each set is first compared with the one that
 leads most of its blocks, and the links found are contracted to components. Then, in rounds, one set of each
 component meets one of its block's main component, until no round finds a link. Only what is still apart
-after that is compared pair by pair, after a Hamming test on a 256-bit sketch.
+after that is compared pair by pair, after a Hamming test on a 256-bit sketch and, for large sets, one that grows with them.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bloom import build_bloom, in_bloom
@@ -41,6 +41,9 @@ SHINGLE_WORDS = 5
 SIMILARITY = Fraction(4, 5)
 # Bits of the sketch that candidate pairs are tested with.
 SKETCH_WORDS = 4
+# Sets of this size band and beyond have a wider sketch too, of two bits for each element of the band's smallest set up
+# to so many words, because the short one says little about them. Pairs of large sets are tested with both.
+WIDE_BAND, WIDE_WORDS = 8, 64
 # Up to this size band (31 shingles) every shingle is a block.
 PLAIN_BAND = 4
 # Blocks listed as frequent; the list only orders blocks.
@@ -73,23 +76,42 @@ def _names(shingles: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
         return mix(_sums(mix(shingles, 11), rows, n) + np.bincount(rows, minlength=n).astype(np.uint64))
 
 
+def wide_sketches(shingles: np.ndarray, rows: np.ndarray, n: int) -> list:
+    """Parity sketch words of each large set, None for others. Half a sketch of twice the length, folded by XOR, is the shorter one."""
+    sizes = np.bincount(rows, minlength=n)
+    band = np.floor(np.log2(np.maximum(sizes, 1))).astype(np.int64)
+    large = band >= WIDE_BAND
+    if not large.any():
+        return [None] * n
+    length = np.where(large, np.minimum(1 << np.maximum(band - 5, 0), WIDE_WORDS), 0)
+    base = np.concatenate([[0], np.cumsum(length)]) * 64
+    mine = large[rows]
+    bit = mix(shingles[mine], 14) & (length[rows[mine]] * 64 - 1).astype(np.uint64)
+    odd = np.bincount(base[rows[mine]] + bit.astype(np.int64), minlength=base[-1]) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+    return [packed[a // 64:b // 64] if b > a else None for a, b in zip(base[:-1], base[1:])]
+
+
 def _describe(words: int, seed: int):
     def run(batches):
         for batch in batches:
             n_rows = batch.num_rows
             names, checks = np.zeros(n_rows, np.uint64), np.zeros(n_rows, np.uint64)
             sizes, sketch = np.zeros(n_rows, np.int64), np.zeros((SKETCH_WORDS, n_rows), np.uint64)
+            wide = []
             for a, n, shingles, rows in _sets(batch.column("text"), words, seed):
                 sizes[a:a + n] = np.bincount(rows, minlength=n)
                 names[a:a + n] = _names(shingles, rows, n)
                 checks[a:a + n] = _sums(mix(shingles, 12), rows, n, np.bitwise_xor)
+                wide += wide_sketches(shingles, rows, n)
                 bit = mix(shingles, 13)
                 for w in range(SKETCH_WORDS):
                     mine = (bit >> np.uint64(6)) % np.uint64(SKETCH_WORDS) == w
                     sketch[w, a:a + n] = _sums(np.where(mine, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0)), rows, n, np.bitwise_xor)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(signed(x)) for x in (names, checks)), pa.array(sizes), *(pa.array(signed(x)) for x in sketch)],
-                ["doc_id", "node", "check", "n", *(f"s{w}" for w in range(SKETCH_WORDS))],
+                [batch.column("doc_id"), *(pa.array(signed(x)) for x in (names, checks)), pa.array(sizes), *(pa.array(signed(x)) for x in sketch),
+                 pa.array(wide, pa.list_(pa.int64()))],
+                ["doc_id", "node", "check", "n", *(f"s{w}" for w in range(SKETCH_WORDS)), "wide"],
             )
 
     return run
@@ -286,19 +308,35 @@ def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
     return placed.join(new, "comp", "left").withColumn("comp", F.coalesce("_new", "comp")).drop("_new")
 
 
+def _wide_differ(x: Column, y: Column) -> Column:
+    """Differing bits of two wide sketches; the longer one is folded to the length of the other."""
+    def fitted(a: Column, b: Column) -> Column:
+        half = (F.size(a) / 2).cast("int")
+        folded = F.zip_with(F.slice(a, 1, half), F.slice(a, half + 1, half), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(a) > F.size(b), folded).otherwise(a)
+
+    bits = F.zip_with(fitted(x, y), fitted(y, x), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    return F.aggregate(bits, F.lit(0), lambda total, one: total + one)
+
+
 def _similar_in_size_and_sketch(left: DataFrame, right: DataFrame, similarity: Fraction) -> DataFrame:
     """(a, b) of the sets of two tables (key, comp, node, n, sketch) that share a block, are in different components and may link."""
-    columns = ["comp", "node", "n", *(f"s{w}" for w in range(SKETCH_WORDS))]
+    columns = ["comp", "node", "n", *(f"s{w}" for w in range(SKETCH_WORDS)), *(["wide"] if "wide" in left.columns else [])]
     x = left.select("key", *[F.col(c).alias(f"x_{c}") for c in columns])
     y = right.select("key", *[F.col(c).alias(f"y_{c}") for c in columns])
     num, den = similarity.numerator, similarity.denominator
     differ = sum((F.bit_count(F.col(f"x_s{w}").bitwiseXOR(F.col(f"y_s{w}"))) for w in range(1, SKETCH_WORDS)),
                  F.bit_count(F.col("x_s0").bitwiseXOR(F.col("y_s0"))))
+    # Sketches differ in no more bits than the sets in elements.
+    near = differ * (den + num) <= (F.col("x_n") + F.col("y_n")) * (den - num)
+    if "wide" in left.columns:
+        wide = _wide_differ(F.col("x_wide"), F.col("y_wide")) * (den + num) <= (F.col("x_n") + F.col("y_n")) * (den - num)
+        known = F.col("x_wide").isNotNull() & F.col("y_wide").isNotNull()
+        near = F.when(near & known, wide).otherwise(near)
     return (
         x.join(y, "key")
         .filter((F.col("x_comp") != F.col("y_comp")) & (F.col("x_n") * den >= F.col("y_n") * num) & (F.col("y_n") * den >= F.col("x_n") * num))
-        # Sketches differ in no more bits than the sets in elements.
-        .filter(differ * (den + num) <= (F.col("x_n") + F.col("y_n")) * (den - num))
+        .filter(near)
         .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
     )
 
@@ -323,7 +361,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     seed = 0
     while True:
         described = materialize(
-            slim.mapInArrow(_describe(words, seed), "doc_id bigint, node bigint, check bigint, n bigint, " + ", ".join(f"s{w} bigint" for w in range(SKETCH_WORDS))),
+            slim.mapInArrow(_describe(words, seed), "doc_id bigint, node bigint, check bigint, n bigint, " + ", ".join(f"s{w} bigint" for w in range(SKETCH_WORDS)) + ", wide array<bigint>"),
             "sets",
         )
         nodes = described.filter("n > 0").groupBy("node").agg(
@@ -387,7 +425,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         open_rows = materialize(_open_blocks(_merged(open_rows.drop("main"), found)), "open")
     # Then all pairs that share a block and are still apart. The main component of a block meets only the others.
     if open_rows.take(1):
-        apart = _similar_in_size_and_sketch(open_rows.filter("comp <> main"), open_rows, similarity)
+        wide = described.filter("wide IS NOT NULL").select("node", "wide").join(open_rows.select("node").distinct(), "node", "left_semi")
+        sketched = materialize(open_rows.join(wide.dropDuplicates(["node"]), "node", "left"), "sketched")
+        apart = _similar_in_size_and_sketch(sketched.filter("comp <> main"), sketched, similarity)
         if tried is not None:
             apart = apart.join(tried, ["a", "b"], "left_anti")
         links = links.union(materialize(_pairs_checked(apart, texts, words, seed, similarity), "more-links"))

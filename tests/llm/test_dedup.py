@@ -13,7 +13,7 @@ from corpusloom.llm.bloom import build_bloom, in_bloom
 from corpusloom.llm.byte_words import WordHasher, cut_long, mix, text_buffer, word_grams
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.exact_dedup import exact_dedup
-from corpusloom.llm.parity_join import band_blocks, block_keys, entered_blocks, jaccard_components
+from corpusloom.llm.parity_join import band_blocks, block_keys, entered_blocks, jaccard_components, wide_sketches
 from fractions import Fraction
 from tests.llm.brute import Union, jaccard_components as slow_components, words_of
 
@@ -208,3 +208,37 @@ def test_jaccard_odd_rows(documents, odd_rows):
         (8, 1, 8), (9, 1, 9), (10, 1, 10), (11, 3, 6),
     ]
     assert got == in_order(want)
+
+
+def test_wide_sketches_bound_the_difference():
+    draw = np.random.default_rng(3)
+    for n, change in ((256, 10), (500, 120), (511, 3), (515, 5), (3000, 700), (40_000, 100)):
+        a = np.unique(draw.integers(0, 1 << 62, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[change:], draw.integers(0, 1 << 62, change // 2).astype(np.uint64)]))
+        x, y = (wide_sketches(s, np.zeros(len(s), np.int64), 1)[0] for s in (a, b))
+        if x is None or y is None:
+            assert min(len(a), len(b)) < 256
+            continue
+        while len(x) > len(y):
+            x = x[:len(x) // 2] ^ x[len(x) // 2:]
+        while len(y) > len(x):
+            y = y[:len(y) // 2] ^ y[len(y) // 2:]
+        differ = int(np.unpackbits((x ^ y).view(np.uint8)).sum())
+        assert differ <= len(np.setxor1d(a, b)) and (n > 4000 or differ > 0.5 * len(np.setxor1d(a, b)))
+
+
+def test_long_texts_that_share_passages(documents):
+    """Many long texts with common passages: some links just at the threshold, most pairs apart."""
+    draw = random.Random(11)
+    word = lambda: f"w{draw.randrange(10**6)}"
+    passages = [[word() for _ in range(150)] for _ in range(4)]
+    rows = []
+    for i in range(60):
+        body = [word() for _ in range(draw.choice([150, 300, 600]))] + passages[i % 4] + passages[(i + 1) % 4]
+        rows.append((3 * i, " ".join(body)))
+        for j, share in enumerate((0.8, 0.93)):  # a tail of its own, below and above what links
+            keep = int(len(body) * share)
+            rows.append((3 * i + j + 1, " ".join(body[:keep] + [word() for _ in range(len(body) - keep)])))
+    want = slow_components(rows)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(documents(rows)).collect()}
+    assert got == want and len({c for _, c in want.values()}) > 60
