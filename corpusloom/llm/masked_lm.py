@@ -5,8 +5,8 @@ the sum of the log-probabilities is the document's score. A word's probability i
 by the network, times that of the word within its class, given by counts over the whole corpus: the
 most frequent words are classes of their own, all others are classed by their ending.
 
-The network is trained in numpy on all documents, a quarter of the positions masked as in masked
-language modelling. Each task trains a copy on its own documents, and the copies are averaged by
+The network is trained in numpy on all documents and all positions: each word is masked once and predicted from
+the words around it. Each task trains a copy on its own documents, and the copies are averaged by
 position count with an ordinary aggregation, one row per parameter and task.
 """
 
@@ -28,7 +28,6 @@ NOTHING = CONTEXTS - 1  # beyond the ends of a text
 WINDOW = (-2, -1, 1, 2)
 HIDDEN = 16
 BATCH, RATE = 2048, 0.5
-MASK_EVERY = 4
 _HASHER = WordHasher(71)
 _SHAPES = (("E", (len(WINDOW), CONTEXTS, HIDDEN)), ("b", (HIDDEN,)), ("W", (HIDDEN, CLASSES)), ("c", (CLASSES,)))
 
@@ -151,9 +150,8 @@ def _train(sent):
                 slot, text = slots(at[a:b + 1], raw)
                 if not len(slot):
                     continue
-                mask = np.arange(seen % MASK_EVERY, len(slot), MASK_EVERY)
-                held.append((_windows(vocab, slot, text)[:, mask], vocab["class"][slot[mask]]))
-                size += len(mask)
+                held.append((_windows(vocab, slot, text), vocab["class"][slot]))
+                size += len(slot)
                 if size >= BATCH:
                     step()
         if held:

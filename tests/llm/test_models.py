@@ -1,6 +1,7 @@
 """Classifiers, language identification and language-model scores."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -191,6 +192,13 @@ def test_language_model_equals_plain_sums(documents):
         assert abs(want - r.log_likelihood) < 1e-3 and r.n_words == len(slot)
 
 
+def test_every_position_is_trained_on():
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]) for texts in (["one two three", "two two", None, ""], ["x"])]
+    vocab = masked_lm.vocabulary(np.ones(masked_lm.SLOTS, np.int64))
+    (learnt,) = masked_lm._train(SimpleNamespace(value=vocab))(iter(batches))
+    assert set(learnt.column("weight").to_pylist()) == {6.0}
+
+
 def test_class_probabilities_add_up():
     rng = np.random.default_rng(0)
     vocab = masked_lm.vocabulary(rng.poisson(0.2, masked_lm.SLOTS))
