@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.rows import array_rows
-from corpusloom.functions.text import empty_strings
-from corpusloom.operators.search import Matches, hits, match, question_terms, searchable_words
+from corpusloom.functions.text import empty_strings, words
+from corpusloom.operators.search import Matches, _whole_texts, hits, match, packed, question_terms, searchable_words
 from corpusloom.operators.ordering import DEFAULT_HOT_ROWS
 from corpusloom.session import materialize, small_enough
 from corpusloom.sources import versions as V
@@ -28,7 +28,7 @@ def append_terms(index: DataFrame, path: str, version: int | None = None, n_part
                  files: DataFrame | None = None) -> int:
     """Add the words of index rows (id, file_name and searchable columns) as a new version, replacing their files' words.
 
-    Words are counted per row before the shuffle, and grouped by row and word, so a word that every row has is spread over
+    Texts are shuffled by their id and words counted where whole documents lie, so a word that every row has is spread over
     all tasks. A table that exists keeps its number of parts, which is stored with the rows.
     ``files`` (file_name) may name the files, also ones without rows, as in ``append_index``. Returns the version.
     """
@@ -37,13 +37,12 @@ def append_terms(index: DataFrame, path: str, version: int | None = None, n_part
     held = V.stored(spark, f"{path}/{DOCS}")
     known = held.select("n_parts").first() if held is not None else None
     n_parts = known["n_parts"] if known else n_parts
-    split = searchable_words(index)
     field = F.col("custom_field") if "custom_field" in index.columns else empty_strings()
-    docs = index.select("id", "file_name", field.alias("custom_field"), F.size(split).alias("dl"), F.lit(n_parts).alias("n_parts"))
+    docs = index.select("id", "file_name", field.alias("custom_field"), F.size(searchable_words(index)).alias("dl"), F.lit(n_parts).alias("n_parts"))
     V.write_version(docs, path, DOCS, version)
-    rows = index.select("id", "file_name", split.alias("_w"))
-    words = array_rows(rows.withColumn("dl", F.size("_w")), ("id", "file_name", "dl"), "_w", "_at", "term")
-    counted = words.groupBy("id", "file_name", "dl", "term").agg(F.count("*").alias("tf"))
+    rows = _whole_texts(index, ("id", "file_name")).withColumn("_w", words(F.col("_text"))).drop("_text")
+    spread = array_rows(rows.withColumn("dl", F.size("_w")), ("id", "file_name", "dl"), "_w", "_at", "term")
+    counted = spread.groupBy("id", "file_name", "dl", "term").agg(F.count("*").alias("tf"))
     V.write_version(counted.withColumn("part", part_of(F.col("term"), n_parts)).sortWithinPartitions("part", "term"), path, POSTINGS, version, ("part",))
     V.finish(spark.read.parquet(f"{path}/{DOCS}/version={version}") if files is None else files, path, version)
     return version
@@ -61,20 +60,34 @@ def read_docs(spark: SparkSession, path: str) -> DataFrame:
     return _live(spark, path, DOCS).select("id", "file_name", "custom_field", "dl")
 
 
-def read_postings(spark: SparkSession, path: str, vocabulary: DataFrame, n_words: int | None = None) -> DataFrame:
-    """(id, dl, term, tf) of the words in ``vocabulary`` (term), from the folders of these words only."""
+def _asked_postings(spark: SparkSession, path: str, vocabulary: DataFrame, n_words: int | None = None) -> DataFrame:
+    """(id, file_name, version, dl, term, tf) of the words in ``vocabulary`` (term), from the folders of these words only."""
     n_parts = V.stored(spark, f"{path}/{DOCS}").select("n_parts").first()["n_parts"]
     # At most as many numbers as there are parts.
     parts = [r["part"] for r in vocabulary.select(part_of(F.col("term"), n_parts).alias("part")).distinct().collect()]
-    rows = _live(spark, path, POSTINGS).filter(F.col("part").isin(parts))
-    return rows.join(small_enough(vocabulary.select("term").distinct(), n_words), "term").select("id", "dl", "term", "tf")
+    rows = V.read_part(spark, path, POSTINGS)
+    if rows is None:
+        raise ValueError(f"no words at {path}")
+    return rows.filter(F.col("part").isin(parts)).join(small_enough(vocabulary.select("term").distinct(), n_words), "term")
+
+
+def read_postings(spark: SparkSession, path: str, vocabulary: DataFrame, n_words: int | None = None) -> DataFrame:
+    """(id, dl, term, tf) of the words in ``vocabulary`` (term), from the folders of these words only."""
+    rows = _asked_postings(spark, path, vocabulary, n_words)
+    return rows.join(V.outdated(spark, path), ["file_name", "version"], "left_anti").select("id", "dl", "term", "tf")
+
+
+def read_packed(spark: SparkSession, path: str, vocabulary: DataFrame, n_words: int | None = None) -> DataFrame:
+    """(id, dl, words): the rows of ``read_postings`` as one row per document, of which replaced ones are left out."""
+    rows = packed(_asked_postings(spark, path, vocabulary, n_words), ("id", "file_name", "version", "dl"))
+    return rows.join(V.outdated(spark, path), ["file_name", "version"], "left_anti").select("id", "dl", "words")
 
 
 def stored_matches(spark: SparkSession, path: str, questions: DataFrame) -> Matches:
     """What ``questions`` ask of a term table."""
     terms = materialize(question_terms(questions), "terms")
     n_terms = terms.count()
-    found = materialize(read_postings(spark, path, terms.select("term"), n_terms), "postings")
+    found = materialize(read_packed(spark, path, terms.select("term"), n_terms), "postings")
     return match(found, terms, n_terms, read_docs(spark, path), F.col("dl"), questions)
 
 

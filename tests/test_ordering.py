@@ -106,3 +106,21 @@ def test_parts_never_exceed_their_bytes(spark, limit, hot_rows):
         mine = sorted((r["part"], r["context"]) for r in got if r["question_id"] == q)
         assert [p for p, _ in mine] == list(range(len(mine)))
         assert "".join(c for _, c in mine) == "".join(texts[q::4])
+
+
+@pytest.mark.parametrize("limit,hot_rows", [(40, 10_000), (9, 0)])
+def test_parts_of_stored_texts(spark, limit, hot_rows):
+    draw = random.Random(limit)
+    texts = {f"t{i}": "".join(draw.choice("abé漢😀") for _ in range(draw.choice([0, 1, 3, 8, 30, 90]))) for i in range(20)}
+    stored = spark.createDataFrame([*texts.items(), ("unasked", "x")], "id string, text string")
+    ranked = [(q, i + 1, name) for q in range(4) for i, name in enumerate(draw.sample(sorted(texts), 15))]
+    hits = spark.createDataFrame(ranked, "question_id int, rank int, id string")
+    got = S.parts_by_bytes(hits, limit, "", hot_rows, stored)
+    with_text = spark.createDataFrame([(q, r, texts[i]) for q, r, i in ranked], "question_id int, rank int, text string")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, S.parts_by_bytes(with_text, limit, "", hot_rows).collect()))
+
+
+def test_each_of_several_texts_with_one_id_is_in_the_context(spark):
+    stored = spark.createDataFrame([("a", "one"), ("a", "one"), ("a", "two"), ("b", "three")], "id string, text string")
+    hits = spark.createDataFrame([(1, 1, "b"), (1, 2, "a")], "question_id int, rank int, id string")
+    assert [r["context"] for r in S.parts_by_bytes(hits, 1000, "|", 10, stored).collect()] == ["three|one|one|two"]

@@ -152,3 +152,25 @@ def test_tasks_sort_out_the_best(spark):
 def test_hits_leave_tasks_in_small_numbers(spark, sf):
     plan = S.search_text(materialize(index(spark, sf)), questions(spark, sf), 10)._jdf.queryExecution().toString()
     assert "best-" in plan and "scores-" not in plan
+
+
+def test_documents_of_a_search_stay_whole(spark):
+    docs = make(spark, *[(f"d{i}", "f", f"red fish{i % 7} red") for i in range(60)], ("d1", "f", "red fish1 red"), ("d2", "f", "red"))
+    asked = spark.createDataFrame([(1, "red fish1"), (2, "fish2")], "question_id int, question string")
+    m = S.index_matches(docs, asked)
+    # Sums are made where the documents are; neither words nor sums are shuffled by question.
+    assert "hashpartitioning(question_id" not in S.all_scores(m)._jdf.queryExecution().toString()
+    assert m.documents.count() == 61  # a row per document and length, not per word
+    got = {(r["question_id"], r["id"]): r["score"] for r in S.all_scores(m).collect()}
+    assert len(got) == 60 + 9 and got[1, "d1"] > got[1, "d8"]
+
+
+def test_packed_words_are_the_postings(spark):
+    path = scratch_path(spark, "terms")
+    W.append_terms(make(spark, *[(f"{i}", f"f{i % 9}", f"red fish{i % 5} red") for i in range(40)]), path, n_parts=4)
+    W.append_terms(make(spark, ("1", "f1", "green fish1"), ("1", "f1", "green fish1")), path)
+    terms = spark.createDataFrame([("red",), ("fish1",), ("f1",)], "term string")
+    packed = W.read_packed(spark, path, terms)
+    assert packed.count() == packed.select("id").distinct().count()
+    flat = packed.select("id", "dl", F.explode("words").alias("w")).select("id", "dl", "w.term", "w.tf")
+    assert rows(flat) == rows(W.read_postings(spark, path, terms))
