@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import unit_rows
-from corpusloom.operators.neighbours import HIT_SCHEMA, _all, _query_blocks, _top, vector_top_k
+from corpusloom.operators.neighbours import CELLS, HIT_SCHEMA, _all, _query_blocks, _top, vector_top_k
 from corpusloom.session import materialize
 
 TABLES, SEED = 4, 7
@@ -32,6 +32,8 @@ SAMPLE_QUERIES, WANTED_RECALL = 128, 0.95
 MAX_BITS = 16
 # Bytes of index vectors that a task scores together, and of query vectors that go to every task at once.
 SCAN_BYTES, QUERY_BYTES = 32 << 20, 32 << 20
+# Bytes of lists of buckets to look into that go to every task at once.
+LOOKED_BYTES = 128 << 20
 
 
 class Buckets(NamedTuple):
@@ -190,8 +192,10 @@ def _search(index: DataFrame, local: pd.DataFrame, plan: Buckets, probes: int, k
                 low, high = np.searchsorted(bucket, held), np.searchsorted(bucket, held, "right")
                 for a, b, x, y in zip(start, np.append(start[1:], len(mine)), low, high):
                     if x < y:
-                        at, who = order[a:b], asking[x:y]
-                        hits.add(who, ids[at], q[who] @ rows[at].T)
+                        at, step = order[a:b], max(1, CELLS // (b - a))
+                        for first in range(x, y, step):  # a bucket that everyone asks for is scored in slices
+                            who = asking[first:min(y, first + step)]
+                            hits.add(who, ids[at], q[who] @ rows[at].T)
         at, ids, scores = hits.compact()
         yield pd.DataFrame({"query_id": qids[at], "id": ids, "score": scores})
 
@@ -230,7 +234,8 @@ def vector_top_k_buckets(index: DataFrame, queries: DataFrame, k: int, plan: Buc
     if probes is None:
         probes = fit_probes(index, plan, k)
     queries = queries.select("query_id", "vector")
-    query_block = query_block or max(1, QUERY_BYTES // (8 * plan.normals.shape[1]))
+    looked = 16 * plan.tables * min(probes, 1 << plan.bits)  # bytes per query
+    query_block = query_block or max(1, min(QUERY_BYTES // (8 * plan.normals.shape[1]), LOOKED_BYTES // looked))
     parts = [materialize(_search(index, local, plan, probes, k), "hits") for local in _query_blocks(queries, query_block)]
     hits = _top(_all(parts, index.sparkSession), k)
     if probes >= 1 << plan.bits:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import buckets as A
+from corpusloom.operators import neighbours as N
 from corpusloom.operators.neighbours import recall, vector_top_k
 from corpusloom.session import materialize
 
@@ -85,3 +86,28 @@ def test_buckets_are_probed_in_order_of_distance():
     plan = A.Buckets(1, 3, np.eye(3), np.zeros(3))
     looked = A.probed_buckets(plan, [np.array([0.9, 0.1, -0.3])], 8)[0, 0].tolist()
     assert looked[:4] == [0b011, 0b001, 0b111, 0b101] and sorted(looked) == list(range(8))
+
+
+def test_exact_search_keeps_queries_off_the_driver(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    vectors = [(i, rng.integers(-2, 3, 6).astype(float).tolist()) for i in range(90)] + [(5, [1.0] * 6)]
+    index = spark.createDataFrame(vectors, "id bigint, vector array<double>").repartition(3)
+    queries = index.withColumnRenamed("id", "query_id")
+    want = sorted(map(tuple, N.vector_top_k(index, queries, 4).collect()))
+
+    def refuse(*_):
+        raise AssertionError("queries came to the driver")
+
+    monkeypatch.setattr(N, "_query_blocks", refuse)
+    monkeypatch.setattr(N, "CELLS", 70)  # many blocks of rows
+    assert sorted(map(tuple, N.vector_top_k(index, queries, 4, query_block=7).collect())) == want
+
+
+def test_scores_of_a_bucket_are_worked_out_in_slices(spark, monkeypatch):
+    index = spark.createDataFrame([(i, [1.0, float(i % 50)]) for i in range(300)], "id bigint, vector array<double>").coalesce(1)
+    queries = index.withColumnRenamed("id", "query_id")
+    want = sorted(map(tuple, N.vector_top_k(index, queries, 3).collect()))
+    monkeypatch.setattr(A, "CELLS", 1000)
+    monkeypatch.setattr(A, "LOOKED_BYTES", 16 * 2 * 4 * 100)  # blocks of 100 queries
+    found = A.vector_top_k_buckets(index, queries, 3, probes=4, tables=2, bits=2)
+    assert sorted(map(tuple, found.collect())) == want
