@@ -7,7 +7,7 @@ restarts at every cut.
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import (
@@ -74,6 +74,20 @@ def pack_text(text: str, max_tokens: int, chars_per_token: int, units: str) -> l
     return out
 
 
+# Texts whose pieces are Python strings at once.
+SLICE = 64
+
+
+def _lists(texts: pa.Array, cut) -> pa.Array:
+    """``cut`` of every text; NULL stays NULL. Pieces are Python strings for a few texts at a time and Arrow buffers after that."""
+    kind = pa.list_(pa.string())
+    parts = [
+        pa.array([None if t is None else cut(t) for t in texts.slice(k, SLICE).to_pylist()], kind)
+        for k in range(0, len(texts), SLICE)
+    ]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def _positive(max_tokens: int, chars_per_token: int) -> None:
     if int(max_tokens) < 1 or int(chars_per_token) < 1:
         raise ValueError("token limit and characters per token must be at least 1")
@@ -83,11 +97,9 @@ def pack_udf(max_tokens: int = DEFAULT_MAX_TOKENS, chars_per_token: int = CHARS_
     """Arrow UDF: text to its chunks; NULL stays NULL at no cost."""
     _positive(max_tokens, chars_per_token)
 
-    @F.pandas_udf("array<string>")
-    def pack(texts: pd.Series) -> pd.Series:
-        return texts.map(
-            lambda t: None if t is None else pack_text(t, max_tokens, chars_per_token, units),
-        )
+    @F.arrow_udf("array<string>")
+    def pack(texts: pa.Array) -> pa.Array:
+        return _lists(texts, lambda t: pack_text(t, max_tokens, chars_per_token, units))
 
     return pack
 
@@ -96,9 +108,9 @@ def split_line_udf(max_chars: int, units: str = "utf16"):
     """Arrow UDF: one long line to its pieces."""
     _positive(max_chars, 1)
 
-    @F.pandas_udf("array<string>")
-    def pieces(lines: pd.Series) -> pd.Series:
-        return lines.map(lambda t: None if t is None else split_line(t, max_chars, units))
+    @F.arrow_udf("array<string>")
+    def pieces(lines: pa.Array) -> pa.Array:
+        return _lists(lines, lambda t: split_line(t, max_chars, units))
 
     return pieces
 

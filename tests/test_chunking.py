@@ -1,9 +1,11 @@
 """Chunk packing: fixed cases and properties."""
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from corpusloom.functions import chunking as C
 from corpusloom.functions.chunking import pack_text, split_line, unit_length
 from corpusloom.functions.text import WS_CHARS
 from corpusloom.operators.chunks import chunk_text
@@ -79,3 +81,16 @@ def test_golden_counts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for limit, want in ((8191, 200), (64, 2607), (8, 17466)):
         assert chunk_text(docs, limit, keep=("doc_id",)).count() == want
+
+
+def test_pieces_are_python_strings_for_few_texts_at_a_time():
+    at_once = []
+
+    def cut(text):
+        at_once.append(text)
+        return [text] * 3
+
+    texts = pa.array([f"t{i}" if i % 5 else None for i in range(3 * C.SLICE + 7)])
+    lists = C._lists(texts, cut)
+    assert lists.to_pylist() == [None if t is None else [t] * 3 for t in texts.to_pylist()]
+    assert C._lists(texts[:0], cut).type == lists.type and len(at_once) == texts.drop_null().__len__()
