@@ -30,7 +30,7 @@ def write_index(df: DataFrame, path: str, n_buckets: int = N_BUCKETS, pieces: in
     Rows are stored in folders by a hash of the file name and only folders with an
     uploaded file are rewritten. Uploading the same rows again changes nothing.
     ``files`` may name the uploaded files (file_name) where ``df`` is costly to read twice.
-    Each folder is written by ``pieces`` tasks, by default as many as the shuffle has to spare.
+    Each folder is written by ``pieces`` tasks or, if that is more, as many as the shuffle has to spare.
     The number of folders is stored with the rows; a table that exists keeps its own. Of several rows
     with one id in ``df`` the one with the greatest ``version`` (a column, which is not stored) stays.
     """
@@ -46,8 +46,7 @@ def write_index(df: DataFrame, path: str, n_buckets: int = N_BUCKETS, pieces: in
     if version is not None:
         rows = [c for c in df.columns if c != version]
         df = df.groupBy("id").agg(F.max_by(F.struct(*rows), version).alias("_row")).select("_row.*")
-    if pieces is None:
-        pieces = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // n_buckets)
+    pieces = max(pieces or 1, int(spark.conf.get("spark.sql.shuffle.partitions")) // n_buckets)
     new = with_bucket(df, n_buckets).withColumn("n_buckets", F.lit(n_buckets))
     names = with_bucket((df if files is None else files).select("file_name").distinct(), n_buckets)
     merged = new
