@@ -16,10 +16,11 @@ two sets may agree, so a set with fewer than d+1 others enters them too. As that
 small sets only, each shingle of those is a block of its own, which leaves no block empty: two linked sets
 share a shingle, and each has at most d that the other lacks.
 
-Groups of equal blocks are never expanded to all pairs. Each set is first compared with the one that
+Of blocks that the same sets enter one is kept. Groups of equal blocks are never expanded to all pairs. Each set is first compared with the one that
 leads most of its blocks, and the links found are contracted to components. Then, in rounds, one set of each
 component meets one of its block's main component, until no round finds a link. Only what is still apart
-after that is compared pair by pair, after a Hamming test on a 256-bit sketch and, for large sets, one that grows with them.
+after that is compared pair by pair, after a Hamming test on a 256-bit sketch and, for large sets, one that grows with them; a pair is passed over
+where it is seen to share an earlier block.
 """
 
 from __future__ import annotations
@@ -29,13 +30,13 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bloom import build_bloom, in_bloom
 from corpusloom.llm.byte_words import WordHasher, distinct_per_text, mix, signed, text_buffer, text_groups, word_grams
 from corpusloom.llm.components import connected_components
-from corpusloom.session import materialize
+from corpusloom.session import BROADCAST_ROWS, materialize, small_enough
 
 SHINGLE_WORDS = 5
 SIMILARITY = Fraction(4, 5)
@@ -48,6 +49,8 @@ WIDE_BAND, WIDE_WORDS = 8, 64
 PLAIN_BAND = 4
 # Blocks listed as frequent; the list only orders blocks.
 FREQUENT_LIST = 1 << 17
+# Earlier blocks of a set that are known where pairs are listed, so that a pair is not listed for each block it shares.
+EARLIER = 8
 # A block is reported as frequent by a task if this many different sets of one Arrow batch have it.
 FREQUENT_IN_BATCH = 8
 
@@ -92,10 +95,21 @@ def wide_sketches(shingles: np.ndarray, rows: np.ndarray, n: int) -> list:
     return [packed[a // 64:b // 64] if b > a else None for a, b in zip(base[:-1], base[1:])]
 
 
-def _describe(words: int, seed: int):
+def _frequent_keys(fresh: list, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks that many of a batch's different sets have, and how many."""
+    keys = [block_keys(shingles, rows, n, up, similarity)[0] for shingles, rows, n in fresh for up in (False, True)]
+    key, count = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, np.int64),) * 2
+    often = count >= FREQUENT_IN_BATCH
+    return key[often], count[often].astype(np.int64)
+
+
+def _describe(words: int, seed: int, similarity: Fraction):
+    """Facts of each row's set; the first row of a batch also lists the batch's frequent blocks."""
+
     def run(batches):
         for batch in batches:
             n_rows = batch.num_rows
+            fresh, seen = [], np.zeros(0, np.uint64)
             names, checks = np.zeros(n_rows, np.uint64), np.zeros(n_rows, np.uint64)
             sizes, sketch = np.zeros(n_rows, np.int64), np.zeros((SKETCH_WORDS, n_rows), np.uint64)
             wide = []
@@ -104,14 +118,17 @@ def _describe(words: int, seed: int):
                 names[a:a + n] = _names(shingles, rows, n)
                 checks[a:a + n] = _sums(mix(shingles, 12), rows, n, np.bitwise_xor)
                 wide += wide_sketches(shingles, rows, n)
+                once, seen = _fresh(names[a:a + n], seen)
+                fresh.append((shingles[once[rows]], rows[once[rows]], n))
                 bit = mix(shingles, 13)
                 for w in range(SKETCH_WORDS):
                     mine = (bit >> np.uint64(6)) % np.uint64(SKETCH_WORDS) == w
                     sketch[w, a:a + n] = _sums(np.where(mine, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0)), rows, n, np.bitwise_xor)
+            often = [pa.array([x, *[None] * (n_rows - 1)][:n_rows], pa.list_(pa.int64())) for x in _frequent_keys(fresh, similarity)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(signed(x)) for x in (names, checks)), pa.array(sizes), *(pa.array(signed(x)) for x in sketch),
-                 pa.array(wide, pa.list_(pa.int64()))],
-                ["doc_id", "node", "check", "n", *(f"s{w}" for w in range(SKETCH_WORDS)), "wide"],
+                [batch.column("doc_id"), batch.column("text_a"), batch.column("text_b"), *(pa.array(signed(x)) for x in (names, checks)),
+                 pa.array(sizes), *(pa.array(signed(x)) for x in sketch), pa.array(wide, pa.list_(pa.int64())), *often],
+                ["doc_id", "text_a", "text_b", "node", "check", "n", *(f"s{w}" for w in range(SKETCH_WORDS)), "wide", "often", "often_sets"],
             )
 
     return run
@@ -180,45 +197,32 @@ def _block_key(band: np.ndarray, block: np.ndarray, parity: np.ndarray, count: n
     return signed(mix(key))
 
 
-def _first_of_each(names: np.ndarray) -> np.ndarray:
+def _fresh(names: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which names are met for the first time, and all that were met."""
     keep = np.zeros(len(names), bool)
     keep[np.unique(names, return_index=True)[1]] = True
-    return keep
+    keep &= ~np.isin(names, seen)
+    return keep, np.concatenate([seen, names[keep]])
 
 
-def _distinct_sets(batch, words, seed):
+def _distinct_sets(column, words, seed):
     """As ``_sets``, with each set of the batch once and its name."""
     seen = np.zeros(0, np.uint64)
-    for _, n, shingles, rows in _sets(batch.column("text"), words, seed):
+    for _, n, shingles, rows in _sets(column, words, seed):
         names = _names(shingles, rows, n)
-        fresh = _first_of_each(names) & ~np.isin(names, seen)
-        seen = np.concatenate([seen, names[fresh]])
+        fresh, seen = _fresh(names, seen)
         mine = fresh[rows]
         yield shingles[mine], rows[mine], n, names
 
 
-def _frequent(words: int, seed: int, similarity: Fraction):
-    def run(batches):
-        for batch in batches:
-            keys = [
-                block_keys(shingles, rows, n, up, similarity)[0]
-                for shingles, rows, n, _ in _distinct_sets(batch, words, seed) for up in (False, True)
-            ]
-            key, count = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, np.int64),) * 2
-            often = count >= FREQUENT_IN_BATCH
-            yield pa.RecordBatch.from_arrays([pa.array(key[often]), pa.array(count[often].astype(np.int64))], ["key", "sets"])
-
-    return run
-
-
-def _entries(words: int, seed: int, similarity: Fraction, frequent, only=None):
-    """(key, node) of the blocks that each set enters; with ``only``, those the filter may contain."""
+def _entries(words: int, seed: int, similarity: Fraction, frequent):
+    """(node, keys): the blocks that each set enters, in lists by the pieces that a batch is hashed in."""
 
     def run(batches):
         late = frequent.value
         for batch in batches:
-            key_parts, node_parts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for shingles, rows, n, names in _distinct_sets(batch, words, seed):
+            node_parts, size_parts, key_parts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for shingles, rows, n, names in _distinct_sets(batch.column("text"), words, seed):
                 allowed = entered_blocks(np.bincount(rows, minlength=n), similarity)
                 for up in (False, True):
                     key, count, row = block_keys(shingles, rows, n, up, similarity)
@@ -230,29 +234,39 @@ def _entries(words: int, seed: int, similarity: Fraction, frequent, only=None):
                     heads = np.flatnonzero(np.diff(row, prepend=-1))
                     place = np.arange(len(row)) - np.repeat(heads, np.diff(np.append(heads, len(row))))
                     keep = place < allowed[row]
-                    if only is not None:
-                        keep &= in_bloom(only.value, key)
+                    entered = np.bincount(row[keep], minlength=n)
                     key_parts.append(key[keep])
-                    node_parts.append(signed(names)[row[keep]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (key_parts, node_parts)], ["key", "node"])
+                    node_parts.append(signed(names)[entered > 0])
+                    size_parts.append(entered[entered > 0])
+            ends = np.cumsum(np.concatenate([[0], *size_parts]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(node_parts)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(key_parts)))],
+                ["node", "keys"],
+            )
 
     return run
 
 
-def _wanted_texts(words: int, seed: int, wanted):
-    """(node, text), one per set and batch, of the sets the filter may contain."""
+def _entries_in(only):
+    """(key, node) of the entries that the filter may contain."""
 
     def run(batches):
         for batch in batches:
-            names = np.zeros(batch.num_rows, np.uint64)
-            sizes = np.zeros(batch.num_rows, np.int64)
-            for a, n, shingles, rows in _sets(batch.column("text"), words, seed):
-                names[a:a + n] = _names(shingles, rows, n)
-                sizes[a:a + n] = np.bincount(rows, minlength=n)
-            keep = _first_of_each(names) & (sizes > 0) & in_bloom(wanted.value, signed(names))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(names)[keep]), batch.column("text").filter(pa.array(keep))], ["node", "text"],
-            )
+            keys = batch.column("keys")
+            flat = keys.flatten().to_numpy(zero_copy_only=False)
+            node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), np.diff(keys.offsets.to_numpy()))
+            keep = in_bloom(only.value, flat)
+            yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), pa.array(node[keep])], ["key", "node"])
+
+    return run
+
+
+def _rows_in(wanted, column: str):
+    """The rows whose ``column`` the filter may contain."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(in_bloom(wanted.value, batch.column(column).to_numpy(zero_copy_only=False))))
 
     return run
 
@@ -281,6 +295,12 @@ def _one_by_one(column, words, seed):
 
 
 def _pairs_checked(pairs: DataFrame, texts: DataFrame, words: int, seed: int, similarity: Fraction) -> DataFrame:
+    """Those of ``pairs`` (a, b), a written table, that are similar."""
+    # Few pairs need few texts; then the others stay where they are.
+    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    n_named = named.count()
+    if n_named <= BROADCAST_ROWS:
+        texts = texts.join(small_enough(named, n_named), "node", "left_semi")
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text").mapInArrow(
@@ -288,6 +308,26 @@ def _pairs_checked(pairs: DataFrame, texts: DataFrame, words: int, seed: int, si
     )
 
 
+def _different_blocks(members: DataFrame) -> DataFrame:
+    """``members`` (key, node) of one block of those that the same sets enter: (key, node, lead, blocks).
+
+    ``lead`` is the block's smallest set, ``blocks`` the number of blocks it stands for. Such blocks have the same pairs.
+    A set has the same number of rows in each of its blocks, so repeats do not matter.
+    """
+    def added(mark: int) -> Column:
+        # As a sum of halves, which cannot overflow.
+        h = F.xxhash64("node", F.lit(mark))
+        return F.struct(F.sum(F.shiftrightunsigned(h, 32)), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))))
+
+    held = members.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("_last"), F.count("*").alias("_rows"), added(1).alias("_one"), added(2).alias("_two"))
+    one = (
+        held.filter("lead <> _last").groupBy("lead", "_last", "_rows", "_one", "_two").agg(F.min("key").alias("key"), F.count("*").alias("blocks"))
+        .select("key", "lead", "blocks")
+    )
+    # Written before repeats go, which would otherwise tie the join's tasks to whole blocks.
+    return materialize(members.join(materialize(one, "blocks"), "key"), "kept").distinct()
+
+
 def _open_blocks(placed: DataFrame) -> DataFrame:
     """Rows (key, node, comp, ...) of blocks whose sets are in several components, with the largest as ``main``."""
     per_comp = placed.groupBy("key", "comp").agg(F.count("*").alias("_rows"))
@@ -319,9 +359,23 @@ def _wide_differ(x: Column, y: Column) -> Column:
     return F.aggregate(bits, F.lit(0), lambda total, one: total + one)
 
 
-def _similar_in_size_and_sketch(left: DataFrame, right: DataFrame, similarity: Fraction) -> DataFrame:
-    """(a, b) of the sets of two tables (key, comp, node, n, sketch) that share a block, are in different components and may link."""
-    columns = ["comp", "node", "n", *(f"s{w}" for w in range(SKETCH_WORDS)), *(["wide"] if "wide" in left.columns else [])]
+def _with_earlier(placed: DataFrame) -> DataFrame:
+    """``placed`` with ``earlier``: the last few of a set's blocks before this one, smaller blocks first."""
+    sizes = placed.groupBy("key").agg(F.count("*").alias("_held"))
+    order = Window.partitionBy("node").orderBy("_held", "key")
+    ahead = F.collect_list("key").over(order.rowsBetween(-EARLIER, -1))
+    return placed.join(sizes, "key").withColumn("earlier", ahead).drop("_held")
+
+
+def _near_pairs(left: DataFrame, right: DataFrame, similarity: Fraction) -> DataFrame:
+    """(a, b) of the sets of two tables (key, comp, node, n, sketch) that share a block, are in different components and may link.
+
+    A pair is listed for each block that it shares.
+
+    With ``earlier``, the tables are all rows of some blocks and, on the left, those outside the block's ``main`` component. A pair then
+    is listed once a block, and not where it is known to share an earlier one: in the first block of all it is listed.
+    """
+    columns = ["comp", "node", "n", *(f"s{w}" for w in range(SKETCH_WORDS)), *(c for c in ("wide", "main", "earlier") if c in left.columns)]
     x = left.select("key", *[F.col(c).alias(f"x_{c}") for c in columns])
     y = right.select("key", *[F.col(c).alias(f"y_{c}") for c in columns])
     num, den = similarity.numerator, similarity.denominator
@@ -333,11 +387,14 @@ def _similar_in_size_and_sketch(left: DataFrame, right: DataFrame, similarity: F
         wide = _wide_differ(F.col("x_wide"), F.col("y_wide")) * (den + num) <= (F.col("x_n") + F.col("y_n")) * (den - num)
         known = F.col("x_wide").isNotNull() & F.col("y_wide").isNotNull()
         near = F.when(near & known, wide).otherwise(near)
+    if "earlier" in left.columns:
+        once = (F.col("y_comp") == F.col("y_main")) | (F.col("x_node") < F.col("y_node"))
+        near = once & near & ~F.arrays_overlap("x_earlier", "y_earlier")
     return (
         x.join(y, "key")
         .filter((F.col("x_comp") != F.col("y_comp")) & (F.col("x_n") * den >= F.col("y_n") * num) & (F.col("y_n") * den >= F.col("x_n") * num))
         .filter(near)
-        .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+        .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
     )
 
 
@@ -358,15 +415,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    # Two hashes of a text, by which it is found again without reading its words.
+    marked = slim.withColumns({"text_a": F.xxhash64("text"), "text_b": F.xxhash64(F.lit(1), "text")})
+    sketch = [f"s{w}" for w in range(SKETCH_WORDS)]
     seed = 0
     while True:
         described = materialize(
-            slim.mapInArrow(_describe(words, seed), "doc_id bigint, node bigint, check bigint, n bigint, " + ", ".join(f"s{w} bigint" for w in range(SKETCH_WORDS)) + ", wide array<bigint>"),
+            marked.mapInArrow(
+                _describe(words, seed, similarity),
+                ", ".join(f"{c} bigint" for c in ("doc_id", "text_a", "text_b", "node", "check", "n", *sketch))
+                + ", wide array<bigint>, often array<bigint>, often_sets array<bigint>",
+            ),
             "sets",
         )
         nodes = described.filter("n > 0").groupBy("node").agg(
             F.min("doc_id").alias("first_id"), F.min("check").alias("_low"), F.max("check").alias("_high"), F.max("n").alias("n"),
-            *[F.max(f"s{w}").alias(f"s{w}") for w in range(SKETCH_WORDS)],
+            F.min(F.struct("text_a", "text_b")).alias("_text"), *[F.max(c).alias(c) for c in sketch],
         )
         nodes = materialize(nodes, "nodes")
         if not nodes.filter("_low <> _high").take(1):
@@ -374,46 +438,49 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         seed += 1
 
     frequent = (
-        slim.mapInArrow(_frequent(words, seed, similarity), "key bigint, sets bigint")
-        .groupBy("key").agg(F.sum("sets").alias("sets")).orderBy(F.desc("sets"), "key").limit(FREQUENT_LIST)
+        described.filter("often IS NOT NULL").select(F.inline(F.arrays_zip("often", "often_sets")))
+        .groupBy(F.col("often").alias("key")).agg(F.sum("often_sets").alias("sets")).orderBy(F.desc("sets"), "key").limit(FREQUENT_LIST)
         .select("key").toArrow()["key"].to_numpy()
     )
     frequent = spark.sparkContext.broadcast(np.sort(frequent))
 
-    def entries(only=None) -> DataFrame:
-        return slim.mapInArrow(_entries(words, seed, similarity, frequent, only), "key bigint, node bigint")
-
-    # Blocks that at least two sets enter, then who enters them.
+    # Who enters which blocks, then blocks that at least two sets enter.
+    entered = materialize(slim.mapInArrow(_entries(words, seed, similarity, frequent), "node bigint, keys array<bigint>"), "entries")
     shared = materialize(
-        entries().groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("_last"))
-        .filter("lead <> _last").select("key", "lead"), "shared",
+        entered.select("node", F.explode("keys").alias("key")).groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("_last"))
+        .filter("lead <> _last").select("key"), "shared",
     )
     only = spark.sparkContext.broadcast(build_bloom(shared, "key"))
-    members = materialize(entries(only).join(shared, "key"), "members")
+    met = materialize(entered.mapInArrow(_entries_in(only), "key bigint, node bigint"), "met")
+    members = materialize(_different_blocks(met), "members")
 
-    wanted = spark.sparkContext.broadcast(build_bloom(members.select("node").distinct(), "node"))
+    # One text of each of their sets.
+    chosen = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "_text.*")
+    chosen = materialize(chosen, "chosen")
+    wanted = spark.sparkContext.broadcast(build_bloom(chosen, "text_a"))
     texts = materialize(
-        slim.mapInArrow(_wanted_texts(words, seed, wanted), "node bigint, text string").dropDuplicates(["node"]), "texts",
+        marked.select("text_a", "text_b", "text").mapInArrow(_rows_in(wanted, "text_a"), "text_a bigint, text_b bigint, text string")
+        .dropDuplicates(["text_a", "text_b"]).join(chosen, ["text_a", "text_b"]).select("node", "text"), "texts",
     )
 
     # Each set against the one that leads most of its blocks.
     star = (
-        members.filter("node <> lead").groupBy("node", "lead").agg(F.count("*").alias("_blocks"))
+        members.filter("node <> lead").groupBy("node", "lead").agg(F.sum("blocks").alias("_blocks"))
         .groupBy("node").agg(F.max(F.struct("_blocks", (-F.col("lead")).alias("_minus"))).alias("_best"))
         .select(F.col("node").alias("a"), (-F.col("_best._minus")).alias("b"))
     )
-    links = materialize(_pairs_checked(star, texts, words, seed, similarity), "links")
-    facts = nodes.select("node", "n", *[f"s{w}" for w in range(SKETCH_WORDS)])
-    placed = members.select("key", "node").distinct().join(connected_components(links), "node", "left").select(
+    links = materialize(_pairs_checked(materialize(star, "star"), texts, words, seed, similarity), "links")
+    facts = nodes.select("node", "n", *sketch)
+    placed = members.select("key", "node").join(connected_components(links), "node", "left").select(
         "key", "node", F.coalesce("comp", "node").alias("comp"))
     open_rows = materialize(_open_blocks(placed).join(facts, "node"), "open")
     tried = None
     while open_rows.take(1):
         # One pair for each block and component: its smallest set against that of the block's main component.
-        first = open_rows.groupBy("key", "comp", "main").agg(F.min(F.struct("node", "n", *[f"s{w}" for w in range(SKETCH_WORDS)])).alias("_set"))
-        pairs = _similar_in_size_and_sketch(
+        first = open_rows.groupBy("key", "comp", "main").agg(F.min(F.struct("node", "n", *sketch)).alias("_set"))
+        pairs = _near_pairs(
             first.filter("comp <> main").select("key", "comp", "_set.*"), first.filter("comp = main").select("key", "comp", "_set.*"), similarity,
-        )
+        ).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
@@ -426,11 +493,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # Then all pairs that share a block and are still apart. The main component of a block meets only the others.
     if open_rows.take(1):
         wide = described.filter("wide IS NOT NULL").select("node", "wide").join(open_rows.select("node").distinct(), "node", "left_semi")
-        sketched = materialize(open_rows.join(wide.dropDuplicates(["node"]), "node", "left"), "sketched")
-        apart = _similar_in_size_and_sketch(sketched.filter("comp <> main"), sketched, similarity)
+        sketched = materialize(_with_earlier(open_rows).join(wide.dropDuplicates(["node"]), "node", "left"), "sketched")
+        apart = _near_pairs(sketched.filter("comp <> main"), sketched, similarity).distinct()
         if tried is not None:
             apart = apart.join(tried, ["a", "b"], "left_anti")
-        links = links.union(materialize(_pairs_checked(apart, texts, words, seed, similarity), "more-links"))
+        links = links.union(materialize(_pairs_checked(materialize(apart, "apart"), texts, words, seed, similarity), "more-links"))
     comps = connected_components(links)
 
     # Smallest id of each component, counted over all rows.

@@ -13,7 +13,9 @@ from corpusloom.llm.bloom import build_bloom, in_bloom
 from corpusloom.llm.byte_words import WordHasher, cut_long, mix, text_buffer, word_grams
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.exact_dedup import exact_dedup
-from corpusloom.llm.parity_join import band_blocks, block_keys, entered_blocks, jaccard_components, wide_sketches
+from corpusloom.llm.parity_join import (
+    _different_blocks, _near_pairs, _with_earlier, band_blocks, block_keys, entered_blocks, jaccard_components, wide_sketches,
+)
 from fractions import Fraction
 from tests.llm.brute import Union, jaccard_components as slow_components, words_of
 
@@ -242,3 +244,43 @@ def test_long_texts_that_share_passages(documents):
     want = slow_components(rows)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(documents(rows)).collect()}
     assert got == want and len({c for _, c in want.values()}) > 60
+
+
+def test_blocks_of_the_same_sets_are_kept_once(spark):
+    """Also where a set comes from several batches, and where blocks differ in a middle set only."""
+    sets = {1: (5, 7), 2: (5, 7), 3: (5, 6, 7), 4: (5, 6, 7), 5: (5, 8, 7), 6: (5,), 7: (5, 6), 8: (6, 7)}
+    rows = [(k, n) for k, held in sets.items() for n in held] + [(k, 6) for k, held in sets.items() if 6 in held]
+    got = _different_blocks(spark.createDataFrame(rows, "key bigint, node bigint").repartition(5)).collect()
+    assert sorted(tuple(r) for r in got) == [
+        (1, 5, 5, 2), (1, 7, 5, 2), (3, 5, 5, 2), (3, 6, 5, 2), (3, 7, 5, 2), (5, 5, 5, 1), (5, 7, 5, 1), (5, 8, 5, 1),
+        (7, 5, 5, 1), (7, 6, 5, 1), (8, 6, 6, 1), (8, 7, 6, 1),
+    ]
+
+
+@pytest.mark.parametrize("earlier", [1, 8])
+def test_pairs_of_many_blocks_are_listed_few_times(spark, monkeypatch, earlier):
+    monkeypatch.setattr("corpusloom.llm.parity_join.EARLIER", earlier)
+    draw = random.Random(5)
+    held = {n: set(range(40)) - set(draw.sample(range(40), n % 4)) | {100 + n // 2, 200 + n} for n in range(30)}
+    comp = {n: n if n % 5 else 0 for n in held}  # six sets in the main component of each block
+    rows = [(k, n, comp[n], 0, 100, 1, 2, 3, 4) for n, keys in held.items() for k in keys]
+    placed = spark.createDataFrame(rows, "key bigint, node bigint, comp bigint, main bigint, n bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    placed = _with_earlier(placed)
+    got = [tuple(r) for r in _near_pairs(placed.filter("comp <> main"), placed, Fraction(4, 5)).collect()]
+    want = {(a, b) for a in held for b in held if a < b and comp[a] != comp[b]}
+    assert set(got) == want and len(got) <= (8 if earlier == 1 else 1.2) * len(want)
+
+
+def test_jaccard_of_a_common_passage(documents, monkeypatch):
+    """Texts that are mostly one passage: chains of links whose ends are apart, found with few earlier blocks known."""
+    monkeypatch.setattr("corpusloom.llm.parity_join.EARLIER", 1)
+    draw = random.Random(13)
+    passage = [f"p{i}" for i in range(130)]
+    rows = []
+    for i in range(90):
+        at = draw.randrange(20)
+        own = [f"w{draw.randrange(10**6)}" for _ in range(draw.choice([4, 12, 22, 34, 60]))]
+        rows.append((i, " ".join(own + passage[at:130 - draw.randrange(20)])))
+    want = slow_components(rows)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(documents(rows)).collect()}
+    assert got == want and 1 < len({c for _, c in want.values()}) < 90
