@@ -254,7 +254,7 @@ def _files(spark, sf):
     """Every document as a text file in a folder with blanks and a plus sign in its name."""
     docs = table(spark, sf, "documents").select(F.concat(F.lit("my doc "), F.col("doc_id"), F.lit("+x")).alias("name"), "text")
     path = scratch_path(spark, "files")
-    docs.write.partitionBy("name").text(path)
+    D.write_files(docs, path)
     return path
 
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterator
+from itertools import groupby
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +59,48 @@ def read_texts(spark: SparkSession, path: str, fmt: str = "text", name: str = "p
     )
 
 
+# What Spark's writers escape in the names of folders.
+_ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+
+
+def write_files(df: DataFrame, path: str, folder: str = "name", text: str = "text") -> None:
+    """Each text as a line of a text file in the folder of its row, with the names and rows of ``partitionBy(folder).text(path)``.
+
+    Meant for very many small files. Spark's writer does it on other file systems; on the local one (or a shared mount) it would
+    start a ``chmod`` process for each folder, file and checksum, so there the tasks write their files themselves. A file
+    appears under its final name once it is whole, and a repeated task writes the same names.
+    """
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toUri()
+    if full.getScheme() != "file":
+        df.select(folder, text).write.partitionBy(folder).text(path)
+        return
+    root = full.getPath()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        name = f"part-{task.partitionId():05d}.txt"
+        rows = ((value.as_py(), line.as_py()) for batch in batches for value, line in zip(batch.column("folder"), batch.column("text")))
+        n = 0
+        for value, lines in groupby(rows, key=lambda row: row[0]):
+            escaped = _ESCAPED.sub(lambda found: f"%{ord(found[0]):02X}", value) if value else "__HIVE_DEFAULT_PARTITION__"
+            at = os.path.join(root, f"{folder}={escaped}")
+            os.makedirs(at, exist_ok=True)
+            part = os.path.join(at, f".{name}.{task.taskAttemptId()}")
+            with open(part, "wb") as out:
+                for _, line in lines:
+                    out.write((line or b"") + b"\n")
+            os.replace(part, os.path.join(at, name))
+            n += 1
+        yield pa.RecordBatch.from_pydict({"n": [n]}, pa.schema([("n", pa.int64())]))
+
+    # The rows of a folder come one after another; an empty name is the same folder as none.
+    rows = df.select(F.nullif(F.col(folder).cast("string"), F.lit("")).alias("folder"), F.col(text).cast("binary").alias("text"))
+    os.makedirs(root, exist_ok=True)
+    rows.sortWithinPartitions("folder").mapInArrow(write, "n bigint").write.format("noop").mode("overwrite").save()
+
+
 def stored_names(spark: SparkSession, path: str, name: str = "processed_name") -> DataFrame:
     """Names already stored under ``path``; none where nothing has been written yet."""
     try:

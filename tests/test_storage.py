@@ -1,5 +1,7 @@
 """Stored tables and streams: nothing doubled, nothing lost."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,3 +138,27 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(bad):
 
     with pytest.raises(ValueError):
         scratch_dir(Session())
+
+
+def test_small_files_are_those_of_the_text_writer_and_nothing_else(spark, tmp_path):
+    """Names with escapes, none at all, texts that are missing, empty, repeated; no checksum files, each of which would cost a process."""
+    rows = [("a b+c", "x\ny"), ("a b+c", None), ("é=%/:?", "ü 漢"), (None, "none"), ("", "empty"), ("t{[]^'\"#*\\}\x7f\x01", ""), ("z", "last")]
+    df = spark.createDataFrame(rows, "name string, text string").coalesce(1)
+    df.write.partitionBy("name").text(str(tmp_path / "spark"))
+    D.write_files(df, str(tmp_path / "own"))
+
+    def found(at):
+        read = D.read_texts(spark, str(tmp_path / at), glob="*.txt").collect()
+        return sorted((r.processed_name.rsplit("/", 1)[0], sorted(r.text.split("\n"))) for r in read)
+
+    assert found("own") == found("spark")
+    assert {x.name for x in (tmp_path / "own").rglob("*") if x.is_file()} == {"part-00000.txt"}
+
+
+def test_file_queries_store_no_checksums(spark, sf):
+    from corpusloom.registry.storage_queries import _files
+
+    root = pathlib.Path(_files(spark, sf).removeprefix("file:"))
+    names = [x.name for x in root.rglob("*") if x.is_file()]
+    assert len(names) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(name.endswith(".txt") and not name.startswith(".") for name in names)
