@@ -346,3 +346,38 @@ def test_given_vectors_recall(spark, sf):
     from corpusloom.registry import QUERIES
 
     assert QUERIES["ann_recall"](spark, sf).first()["recall"] >= 0.9
+
+
+def test_sign_codes_are_made_once_and_score_candidates_only(spark, monkeypatch):
+    """Blocks of queries read stored codes; the hits are those of a plain scan over the same candidates, also where rows share an id."""
+    rows, idx = vectors(spark, 200, 12, 3, "id")
+    idx = idx.union(spark.createDataFrame([(5, [float(x) for x in range(12)])], "id bigint, vector array<float>"))
+    _, queries = vectors(spark, 20, 12, 4, "query_id")
+    plans, chosen, near_rows = [], [], N.near_rows
+
+    def seen(coded, *more):
+        plans.append(coded._jdf.queryExecution().toString())
+        chosen.append(near_rows(coded, *more))
+        return chosen[-1]
+
+    monkeypatch.setattr(N, "near_rows", seen)
+    got = N.vector_top_k_ann(idx, queries, 5, 12, candidates=40, query_block=7).collect()
+    assert len(plans) > 1 and not any("ArrowEvalPython" in plan for plan in plans)
+    asked = {r["query_id"]: np.array(r["vector"], np.float64) for r in queries.collect()}
+    held = [(r["id"], np.array(r["vector"], np.float64)) for r in idx.collect()]
+    wanted = {tuple(r) for part in chosen for r in part.collect()}
+    want = []
+    for one, q in asked.items():
+        scores = [(-round(float(q @ v / np.linalg.norm(q) / np.linalg.norm(v)), 6), id) for id, v in held if (one, id) in wanted]
+        want += [(one, id, k + 1) for k, (_, id) in enumerate(sorted(scores)[:5])]
+    assert sorted((r["query_id"], r["id"], r["rank"]) for r in got) == sorted(want)
+
+
+def test_sign_code_query_asks_for_every_hundredth_row(spark, sf):
+    from corpusloom.registry import QUERIES
+    from corpusloom.registry.search_queries import _vector_queries, _vectors
+
+    hits = QUERIES["vector_top_k_codes"](spark, sf).cache()
+    every = _vector_queries(spark, sf).filter("query_id % 100 = 0")
+    assert {r[0] for r in hits.select("query_id").distinct().collect()} == {r[0] for r in every.select("query_id").collect()}
+    assert N.recall(hits, N.vector_top_k(_vectors(spark, sf), every, 10)).first()["recall"] >= 0.9
