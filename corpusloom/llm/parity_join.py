@@ -325,7 +325,7 @@ def _different_blocks(members: DataFrame) -> DataFrame:
         .select("key", "lead", "blocks")
     )
     # Written before repeats go, which would otherwise tie the join's tasks to whole blocks.
-    return materialize(members.join(materialize(one, "blocks"), "key"), "kept").distinct()
+    return materialize(members.join(small_enough(materialize(one, "blocks")), "key"), "kept").distinct()
 
 
 def _open_blocks(placed: DataFrame) -> DataFrame:
@@ -333,7 +333,7 @@ def _open_blocks(placed: DataFrame) -> DataFrame:
     per_comp = placed.groupBy("key", "comp").agg(F.count("*").alias("_rows"))
     main = per_comp.groupBy("key").agg(F.max(F.struct("_rows", "comp")).alias("_main"), F.count("*").alias("_comps"))
     main = materialize(main.filter("_comps > 1").select("key", F.col("_main.comp").alias("main")), "split-blocks")
-    return placed.join(main, "key")
+    return placed.join(small_enough(main), "key")
 
 
 def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
@@ -344,7 +344,8 @@ def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
         .join(at.select(F.col("node").alias("b"), F.col("comp").alias("_y")), "b")
         .select(F.col("_x").alias("a"), F.col("_y").alias("b"))
     )
-    new = connected_components(edges).select(F.col("node").alias("comp"), F.col("comp").alias("_new"))
+    # Few components merge; the rows of the blocks then stay where they are.
+    new = small_enough(connected_components(edges).select(F.col("node").alias("comp"), F.col("comp").alias("_new")))
     return placed.join(new, "comp", "left").withColumn("comp", F.coalesce("_new", "comp")).drop("_new")
 
 
@@ -361,7 +362,7 @@ def _wide_differ(x: Column, y: Column) -> Column:
 
 def _with_earlier(placed: DataFrame) -> DataFrame:
     """``placed`` with ``earlier``: the last few of a set's blocks before this one, smaller blocks first."""
-    sizes = placed.groupBy("key").agg(F.count("*").alias("_held"))
+    sizes = small_enough(materialize(placed.groupBy("key").agg(F.count("*").alias("_held")), "sizes"))
     order = Window.partitionBy("node").orderBy("_held", "key")
     ahead = F.collect_list("key").over(order.rowsBetween(-EARLIER, -1))
     return placed.join(sizes, "key").withColumn("earlier", ahead).drop("_held")

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.session import small_enough
 from corpusloom.llm.bloom import build_bloom, in_bloom
 from corpusloom.llm.byte_words import WordHasher, cut_long, mix, text_buffer, word_grams
 from corpusloom.llm.components import connected_components
@@ -284,3 +285,24 @@ def test_jaccard_of_a_common_passage(documents, monkeypatch):
     want = slow_components(rows)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(documents(rows)).collect()}
     assert got == want and 1 < len({c for _, c in want.values()}) < 90
+
+
+def test_rows_of_blocks_stay_where_they_are(spark, monkeypatch):
+    """Short tables of blocks go to the rows, also where Spark by itself would move both; beyond the counted bound nothing is sent."""
+    from corpusloom.llm import parity_join as P
+
+    rows = spark.createDataFrame([(k, n, n % 3) for k in range(40) for n in range(k % 5 + 2)], "key bigint, node bigint, comp bigint")
+    links = spark.createDataFrame([(0, 1)], "a bigint, b bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = []
+        for bound in (1000, 0):
+            monkeypatch.setattr(P, "small_enough", lambda df, n=None, bound=bound: small_enough(df, n, bound))
+            tables = [P._open_blocks(rows), P._merged(rows, links), P._with_earlier(rows)]
+            plans = [t._jdf.queryExecution().executedPlan().toString() for t in tables]
+            assert all(("BroadcastHashJoin" in plan) == (bound > 0) for plan in plans)
+            found.append([sorted(map(repr, t.select(sorted(t.columns)).collect())) for t in tables])
+        assert found[0] == found[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
