@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.schemas import CATALOG
-from corpusloom.session import materialize, small_enough
+from corpusloom.session import local_path, materialize, small_enough
 
 
 def _relative(file_path: Column, spark: SparkSession, root: str) -> Column:
@@ -70,13 +70,10 @@ def write_files(df: DataFrame, path: str, folder: str = "name", text: str = "tex
     start a ``chmod`` process for each folder, file and checksum, so there the tasks write their files themselves. A file
     appears under its final name once it is whole, and a repeated task writes the same names.
     """
-    spark = df.sparkSession
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    full = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toUri()
-    if full.getScheme() != "file":
+    root = local_path(df.sparkSession, path)
+    if root is None:
         df.select(folder, text).write.partitionBy(folder).text(path)
         return
-    root = full.getPath()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
