@@ -77,8 +77,19 @@ def question_terms(questions: DataFrame) -> DataFrame:
     )
 
 
+def asked_terms(questions: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(question_id, term, code, qtf) of the questions that hold any word, (term, code) of these words, and how many rows the first has.
+
+    A word's code is its place among the words asked for: what is stored and moved for each word of a document is a number.
+    """
+    terms = materialize(question_terms(questions), "terms")
+    n_terms = terms.count()
+    vocabulary = materialize(global_position(terms.select("term").distinct(), ["term"], "code"), "vocabulary")
+    return materialize(terms.join(small_enough(vocabulary, n_terms), "term"), "terms"), vocabulary, n_terms
+
+
 def postings(index: DataFrame, vocabulary: DataFrame, n_words: int) -> DataFrame:
-    """(id, dl, term, tf) for the words of ``vocabulary``, counted in tasks that hold whole documents.
+    """(id, dl, code, tf) for the words of ``vocabulary`` (term, code), counted in tasks that hold whole documents.
 
     Texts are shuffled by their id instead of a row with the id for every word: what moves is no more than the texts.
     ``n_words`` is an upper bound of the vocabulary's size.
@@ -88,9 +99,9 @@ def postings(index: DataFrame, vocabulary: DataFrame, n_words: int) -> DataFrame
     spread = array_rows(docs.withColumn("dl", F.size("_w")), ("id", "dl"), "_w", "_at", "term").drop("_at")
     if n_words <= BROADCAST_ROWS:
         spread = spread.join(F.broadcast(vocabulary), "term")
-        return spread.groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
+        return spread.groupBy("id", "dl", "code").agg(F.count("*").alias("tf"))
     counted = spread.groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
-    return counted.join(vocabulary, "term", "left_semi")
+    return counted.join(vocabulary, "term").drop("term")
 
 
 def _whole_texts(index: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
@@ -99,8 +110,11 @@ def _whole_texts(index: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame
 
 
 def packed(found: DataFrame, keys: tuple[str, ...] = ("id", "dl")) -> DataFrame:
-    """Postings (id, dl, term, tf) as one row per document, with its words as a list: a document's id is stored and moved once."""
-    return found.groupBy(*keys).agg(F.collect_list(F.struct("term", "tf")).alias("words"))
+    """Postings (id, dl, code, tf) as one row per document, with its words as a list: a document's id is stored and moved once.
+
+    A word is one number, its code in the upper half and ``tf`` in the lower.
+    """
+    return found.groupBy(*keys).agg(F.collect_list(F.shiftleft("code", 32) + F.col("tf")).alias("words"))
 
 
 def _asked_filters(questions: DataFrame) -> DataFrame:
@@ -137,7 +151,7 @@ def allowed_pairs(index: DataFrame, asked: DataFrame, kinds: set[tuple[bool, boo
 class Matches(NamedTuple):
     """What a table of questions asks of a collection, ready to be summed up.
 
-    ``weights`` (question_id, term, df, top, w) of all questions, where ``top`` is the term's greatest damping; ``documents``
+    ``weights`` (question_id, term, code, df, top, w) of all questions, where ``top`` is the term's greatest damping; ``documents``
     (id, words) holds for each document and term what the term adds to the score per unit of weight, and ``gathered`` the same in tasks
     that hold whole documents, for sums per document without a further shuffle; ``allowed`` (question_id, id) the documents of
     restricted questions, None if there are none; ``free`` the ids of the other questions.
@@ -152,12 +166,12 @@ class Matches(NamedTuple):
 
 
 def _damped(documents: DataFrame, *keep: str) -> DataFrame:
-    """(id, term, t) of every word of the documents, and the columns ``keep``."""
-    return array_rows(documents, ("id", *keep), "words", "_at", "_word").select("id", *keep, "_word.term", "_word.t")
+    """(id, code, t) of every word of the documents, and the columns ``keep``."""
+    return array_rows(documents, ("id", *keep), "words", "_at", "_word").select("id", *keep, "_word.code", "_word.t")
 
 
 def match(found: DataFrame, terms: DataFrame, n_terms: int, docs: DataFrame, length: Column, questions: DataFrame) -> Matches:
-    """Weights and dampings from the packed postings ``found`` (id, dl, words) of the words asked for.
+    """Weights and dampings from the packed postings ``found`` (id, dl, words) of the words asked for, ``terms`` (question_id, term, code, qtf).
 
     ``docs`` is the whole collection (id, file_name, custom_field); word statistics always come from all of it.
     """
@@ -166,18 +180,21 @@ def match(found: DataFrame, terms: DataFrame, n_terms: int, docs: DataFrame, len
     whole = {"n": F.lit(stats["n"]), "avgdl": F.lit(stats["avgdl"] or 1.0)}
     least = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / whole["avgdl"])
 
+    def count(word: Column) -> Column:
+        return word.bitwiseAND(F.lit((1 << 32) - 1))
+
     def damped(rows: DataFrame) -> DataFrame:
         return rows.select("id", F.transform("words", lambda x: F.struct(
-            x["term"].alias("term"), (x["tf"] * F.lit(K1 + 1) / (x["tf"] + least)).alias("t"),
+            F.shiftright(x, 32).alias("code"), (count(x) * F.lit(K1 + 1) / (count(x) + least)).alias("t"),
         )).alias("words"))
 
     # Counts move, not the dampings worked out from them, which are twice as long.
     documents, gathered = damped(found), damped(found.repartition("id"))
-    frequency = _damped(documents).groupBy("term").agg(F.count("*").alias("df"), F.max("t").alias("top"))
+    frequency = _damped(documents).groupBy("code").agg(F.count("*").alias("df"), F.max("t").alias("top"))
     idf = F.log(1 + (whole["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
     # One row per word of a question; every later step reads it.
     weights = materialize(
-        terms.join(frequency, "term").select("question_id", "term", "df", "top", (F.col("qtf") * idf).alias("w")), "weights",
+        terms.join(frequency, "code").select("question_id", "term", "code", "df", "top", (F.col("qtf") * idf).alias("w")), "weights",
     )
 
     asked = _asked_filters(questions)
@@ -200,12 +217,12 @@ def free_weights(m: Matches) -> DataFrame:
 def restricted_scores(m: Matches, *keep: str) -> DataFrame:
     """Restricted questions meet their allowed documents first and only the words of those are scored."""
     met = _damped(m.gathered.join(m.allowed, "id"), "question_id", *keep)
-    return _summed(met.join(small_enough(m.weights, m.n_weights), ["question_id", "term"]), *keep)
+    return _summed(met.join(small_enough(m.weights, m.n_weights), ["question_id", "code"]), *keep)
 
 
 def all_scores(m: Matches, *keep: str) -> DataFrame:
     """(question_id, id, score) of every document that shares a word with a question and is allowed to it, and columns ``keep`` of the documents."""
-    scored = _summed(_damped(m.gathered, *keep).join(small_enough(free_weights(m), m.n_weights), "term"), *keep)
+    scored = _summed(_damped(m.gathered, *keep).join(small_enough(free_weights(m), m.n_weights), "code"), *keep)
     return scored if m.allowed is None else scored.unionByName(restricted_scores(m, *keep))
 
 
@@ -214,9 +231,8 @@ def index_matches(index: DataFrame, questions: DataFrame, numbers: DataFrame | N
 
     With ``numbers`` (id, number) documents go by their number instead of the id, which is shorter where there are very many hits.
     """
-    terms = materialize(question_terms(questions), "terms")
-    n_terms = terms.count()
-    found = packed(postings(index, terms.select("term").distinct(), n_terms))
+    terms, vocabulary, n_terms = asked_terms(questions)
+    found = packed(postings(index, vocabulary, n_terms))
     length = F.col("n_terms") if "n_terms" in index.columns else F.size(searchable_words(index))
     if numbers is not None:
         found = _numbered(found, numbers)
@@ -275,11 +291,11 @@ def bounded_weights(m: Matches, k: int) -> DataFrame:
     weights = free_weights(m).withColumn("bound", F.col("w") * F.col("top"))
     strongest = Window.partitionBy("question_id").orderBy(F.desc("bound"), "term")
     seen = F.coalesce(F.sum("df").over(strongest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    lead = weights.withColumn("_seen", seen).filter(F.col("_seen") < FIRST_LOOK * k).select("question_id", "term", "w")
-    first = top_k(_summed(_damped(m.gathered).join(small_enough(lead, m.n_weights), "term")), k).select("question_id", "id")
+    lead = weights.withColumn("_seen", seen).filter(F.col("_seen") < FIRST_LOOK * k).select("question_id", "code", "w")
+    first = top_k(_summed(_damped(m.gathered).join(small_enough(lead, m.n_weights), "code")), k).select("question_id", "id")
     # At most k documents for each question, of which there are not more than there are weights.
     met = _damped(m.documents.join(small_enough(first, k * m.n_weights), "id"), "question_id")
-    whole = _summed(met.join(small_enough(weights, m.n_weights), ["question_id", "term"]))
+    whole = _summed(met.join(small_enough(weights, m.n_weights), ["question_id", "code"]))
     floors = whole.groupBy("question_id").agg(
         F.when(F.count("*") >= k, F.min("score") - ROOM).otherwise(0.0).alias("floor"),
     )
@@ -296,20 +312,20 @@ def best_scores(m: Matches, k: int) -> DataFrame:
     Only needed words are summed up for all documents; the others are added for documents that can still pass the floor.
     """
     weights = bounded_weights(m, k)
-    needed = weights.filter("needed").select("question_id", "term", "w", "floor", "rest")
+    needed = weights.filter("needed").select("question_id", "code", "w", "floor", "rest")
     documents = m.gathered  # neither the sums per document nor the join to its words need a further shuffle
     passing = (
-        _damped(documents).join(small_enough(needed, m.n_weights), "term").groupBy("question_id", "id", "floor", "rest")
+        _damped(documents).join(small_enough(needed, m.n_weights), "code").groupBy("question_id", "id", "floor", "rest")
         .agg(F.sum(F.col("w") * F.col("t")).alias("_sum")).filter(F.col("_sum") + F.col("rest") >= F.col("floor"))
     )
-    others = weights.filter(~F.col("needed")).select("question_id", "term", "w")
-    listed = others.groupBy("question_id").agg(F.collect_list("term").alias("_others"))
+    others = weights.filter(~F.col("needed")).select("question_id", "code", "w")
+    listed = others.groupBy("question_id").agg(F.collect_list("code").alias("_others"))
     open_ = passing.join(small_enough(listed, m.n_weights), "question_id", "left").join(documents, "id", "left")
-    asked = F.filter("words", lambda x: F.coalesce(F.array_contains("_others", x["term"]), F.lit(False)))
+    asked = F.filter("words", lambda x: F.coalesce(F.array_contains("_others", x["code"]), F.lit(False)))
     rows = open_.select("question_id", "id", "_sum", F.explode_outer(asked).alias("_word")).select(
-        "question_id", "id", "_sum", F.col("_word.term").alias("term"), F.col("_word.t").alias("t"),
+        "question_id", "id", "_sum", F.col("_word.code").alias("code"), F.col("_word.t").alias("t"),
     )
-    added = rows.join(small_enough(others, m.n_weights), ["question_id", "term"], "left").groupBy("question_id", "id", "_sum").agg(
+    added = rows.join(small_enough(others, m.n_weights), ["question_id", "code"], "left").groupBy("question_id", "id", "_sum").agg(
         F.coalesce(F.sum(F.col("w") * F.col("t")), F.lit(0.0)).alias("_more"),
     )
     return added.select("question_id", "id", F.round(F.col("_sum") + F.col("_more"), 6).alias("score"))

@@ -174,3 +174,37 @@ def test_packed_words_are_the_postings(spark):
     assert packed.count() == packed.select("id").distinct().count()
     flat = packed.select("id", "dl", F.explode("words").alias("w")).select("id", "dl", "w.term", "w.tf")
     assert rows(flat) == rows(W.read_postings(spark, path, terms))
+
+
+def test_postings_hold_numbers_and_no_ids(spark):
+    path = scratch_path(spark, "terms")
+    W.append_terms(make(spark, *[(f"{i}", f"f{i % 9}", f"red fish{i % 5} red") for i in range(40)]), path, n_parts=4)
+    assert sorted(spark.read.parquet(f"{path}/postings").columns) == ["number", "part", "term", "tf", "version"]
+
+
+def test_words_of_rows_that_share_a_document(spark):
+    docs = make(spark, ("1", "a", "red fish"), ("1", "a", "fish red"), ("1", "a", "red"), ("2", "b", "red red blue"), (None, "c", "red"), ("3", None, "blue"), ("4", "d", ""))
+    asked = spark.createDataFrame([(1, "red"), (2, "blue fish c")], "question_id int, question string")
+    for some in (docs, docs.filter("id <> '1'"), docs.filter("id IS NULL OR id <> '1'")):  # counted after a shuffle, and where they are
+        path = scratch_path(spark, "terms")
+        W.append_terms(some, path, n_parts=4, files=some)
+        known = some.filter("file_name IS NOT NULL")
+        got = rows(W.read_postings(spark, path, spark.createDataFrame([("red",), ("blue",), ("fish",)], "term string")))
+        words = {}
+        for r in some.collect():
+            found = f"{r['text']} {r['file_name'] or ''}".split()
+            for w in set(found) & {"red", "blue", "fish"}:
+                key = (r["id"], r["file_name"], len(found), w)
+                words[key] = words.get(key, 0) + found.count(w)
+        assert got == sorted(((dl, id_, term, tf) for (id_, _, dl, term), tf in words.items()), key=repr)
+        if known.count() == some.count():
+            assert rows(W.search_terms(spark, path, asked)) == rows(S.search_text(some, asked))
+
+
+def test_documents_with_equal_hashes_are_told_apart(spark, monkeypatch):
+    hashed, seeds = W._number, []
+    monkeypatch.setattr(W, "_number", lambda seed: seeds.append(seed) or (hashed(seed) if seed > 1 else F.length("id").cast("bigint")))
+    path = scratch_path(spark, "terms")
+    W.append_terms(make(spark, *[(f"{i}", "f", "red") for i in range(5)]), path, n_parts=2)
+    assert seeds == [0, 1, 2, 2]
+    assert W.read_postings(spark, path, spark.createDataFrame([("red",)], "term string")).select("id").distinct().count() == 5
