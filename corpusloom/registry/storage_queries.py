@@ -20,7 +20,7 @@ from corpusloom.registry.search_queries import CHUNK_INDEX_SQL, HITS_SQL
 from corpusloom.registry.text_queries import PAGE_TEXT_SQL
 from corpusloom.registry.tracking_queries import FOLD_SQL, RECORD, record
 from corpusloom.schemas import MESSAGE
-from corpusloom.session import scratch_path
+from corpusloom.session import materialize, scratch_path
 from corpusloom.sources import documents as D
 from corpusloom.sources import index_log as G
 from corpusloom.sources import index_table as X
@@ -310,6 +310,6 @@ def stored_index(spark, sf):
     index_and_store(sent.withColumn("text", F.when(again, F.lit("an older text")).otherwise(F.col("text"))), path, max_tokens=512, dim=64)
     index_and_store(sent.filter(again), path, max_tokens=512, dim=64)
     asked = questions(spark, sf).withColumn("custom_field", F.when(F.col("custom_field").isNotNull(), "requested"))
-    hits = W.search_terms(spark, f"{path}/terms", asked, 10, counts=False)
-    bodies = G.read_current(spark, f"{path}/index").select("id", F.md5(F.col("text").cast("binary")).alias("text_hash"))
+    hits = materialize(W.search_terms(spark, f"{path}/terms", asked, 10, counts=False), "hits")
+    bodies = G.read_current(spark, f"{path}/index", hits).select("id", F.md5(F.col("text").cast("binary")).alias("text_hash"))
     return hits.join(bodies, "id")

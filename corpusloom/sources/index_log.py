@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from corpusloom.session import materialize, small_enough
 from corpusloom.sources import versions as V
 
 ROWS = "rows"
@@ -17,17 +19,33 @@ def append_index(df: DataFrame, path: str, version: int | None = None, files: Da
     even ``version``. Of several rows with one id one is kept. Returns the version.
     """
     version = V.next_upload(df.sparkSession, path) if version is None else version
-    V.write_version(df.dropDuplicates(["id"]), path, ROWS, version)
-    written = df.sparkSession.read.parquet(f"{path}/{ROWS}/version={version}").select("file_name")
+    written = write_rows(_single(df), path, version).select("file_name")
     V.finish(written if files is None else files, path, version)
     return version
 
 
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """The rows that count: those of each file's newest version."""
+def write_rows(df: DataFrame, path: str, version: int) -> DataFrame:
+    """The rows of a version, as written; they do not count before ``V.finish``."""
+    V.write_version(df, path, ROWS, version)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{ROWS}/version={version}")
+
+
+def _single(df: DataFrame) -> DataFrame:
+    """``df`` with one of the rows of each id. Only rows that share an id are moved, which are found by the ids alone."""
+    shared = materialize(df.groupBy("id").agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col("id").alias("_id")), "shared-ids")
+    if not shared.take(1):
+        return df
+    shared, same = small_enough(shared), F.col("id").eqNullSafe(F.col("_id"))
+    return df.join(shared, same, "left_anti").unionByName(df.join(shared, same, "left_semi").dropDuplicates(["id"]))
+
+
+def read_current(spark: SparkSession, path: str, ids: DataFrame | None = None) -> DataFrame:
+    """The rows that count: those of each file's newest version. With ``ids`` (id) only theirs, which are looked for first."""
     rows = V.read_part(spark, path, ROWS)
     if rows is None:
         raise ValueError(f"no index at {path}")
+    if ids is not None:
+        rows = rows.join(small_enough(ids.select("id").distinct()), "id", "left_semi")
     return rows.join(V.outdated(spark, path), ["file_name", "version"], "left_anti").drop("version")
 
 

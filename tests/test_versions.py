@@ -208,3 +208,14 @@ def test_documents_with_equal_hashes_are_told_apart(spark, monkeypatch):
     W.append_terms(make(spark, *[(f"{i}", "f", "red") for i in range(5)]), path, n_parts=2)
     assert seeds == [0, 1, 2, 2]
     assert W.read_postings(spark, path, spark.createDataFrame([("red",)], "term string")).select("id").distinct().count() == 5
+
+
+def test_uploads_move_no_rows_with_ids_of_their_own(spark):
+    path = scratch_path(spark, "index")
+    docs = make(spark, *[(f"{i}", "f", f"text {i}") for i in range(20)])
+    assert G._single(docs) is docs
+    shared = docs.unionByName(make(spark, ("3", "f", "again"), (None, "f", "none"), (None, "f", "none")))
+    G.append_index(shared, path)
+    got = rows(G.read_current(spark, path).select("id"))
+    assert got == sorted([(f"{i}",) for i in range(20)] + [(None,)], key=repr)
+    assert rows(G.read_current(spark, path, make(spark, ("7", "", ""), ("7", "", ""), ("x", "", "")))) == [("f", "7", "text 7")]
