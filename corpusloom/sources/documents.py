@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.schemas import CATALOG
 from corpusloom.session import local_path, materialize, small_enough
+from corpusloom.sources.tree import compressed, list_tree, local_folder, read_files
 
 
 def _relative(file_path: Column, spark: SparkSession, root: str) -> Column:
@@ -30,25 +31,39 @@ def list_documents(spark: SparkSession, path: str, container: str = "documents",
                    fmt: str = "binaryFile") -> DataFrame:
     """Names below ``path``, sizes and times of the files; their content is never read.
 
+    Tasks list a local folder; Spark's file index, which the driver keeps, lists other paths.
     ``fmt='parquet'`` reads a stored catalogue (file_name, container, metadata) instead.
     """
     if fmt == "parquet":
         return spark.read.schema(CATALOG).parquet(path)
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(
+    root = local_folder(spark, path)
+    if root is not None:
+        listed = list_tree(spark, root, glob)
+    else:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
+        listed = reader.load(path).withColumnRenamed("modificationTime", "modified")
+    return listed.select(
         F.col("path"), _relative(F.col("path"), spark, path).alias("file_name"), F.lit(container).alias("container"),
         F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")).alias("metadata"),
-        F.col("modificationTime").alias("modified"), F.col("length"),
+        F.col("modified"), F.col("length"),
     )
 
 
 def read_texts(spark: SparkSession, path: str, fmt: str = "text", name: str = "processed_name",
                text: str = "text", glob: str | None = None) -> DataFrame:
-    """(processed_name, text), each file or row read whole as UTF-8. The name is the file's path below ``path``."""
+    """(processed_name, text), each file or row read whole as UTF-8. The name is the file's path below ``path``.
+
+    Tasks list and read a local folder. Spark's text reader, whose list of files the driver keeps, reads other paths and folders with compressed files.
+    """
     if fmt == "parquet":
         return spark.read.parquet(path).select(name, text)
+    root = local_folder(spark, path)
+    if root is not None:
+        files = list_tree(spark, root, glob)
+        if not compressed(spark, files).take(1):
+            return read_files(files).select(_relative(F.col("path"), spark, path).alias("processed_name"), "text")
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
