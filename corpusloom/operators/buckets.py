@@ -5,8 +5,9 @@ looks into its own bucket and into those it would fall into if the hyperplanes n
 their other side, in order of the distance it is off, and every row of these buckets is scored exactly. The number of
 bits follows the index, so that buckets keep their size: what is scored per query hardly grows with the index.
 
-Query and row meet by their (table, bucket). The index is never shuffled for it: the buckets that a block of queries looks
-into go to every task, so a bucket that holds a third of the index is simply spread over the tasks that read it.
+Query and row meet by their (table, bucket). While a query looks into few buckets, the index is not shuffled for it: the buckets that a block of
+queries looks into go to every task, so a bucket that holds a third of the index is simply spread over the tasks that read it. Where it looks into a
+large share, as vectors without near neighbours need, blocks of queries and rows meet in a grid of tasks, and nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import unit_rows
-from corpusloom.operators.neighbours import CELLS, HIT_SCHEMA, _all, _query_blocks, _top, vector_top_k
+from corpusloom.operators.neighbours import CELLS, HIT_SCHEMA, QUERY_BLOCK, _all, _blocks, _grid, _query_blocks, _top, vector_top_k
 from corpusloom.session import materialize
 
 TABLES, SEED = 4, 7
@@ -32,6 +33,8 @@ SAMPLE_QUERIES, WANTED_RECALL = 128, 0.95
 MAX_BITS = 16
 # Bytes of index vectors that a task scores together, and of query vectors that go to every task at once.
 SCAN_BYTES, QUERY_BYTES = 32 << 20, 32 << 20
+# Where a query looks into this share of all buckets or more, its block is scored with all rows at once.
+GRID_SHARE = 1 / 8
 # Bytes of lists of buckets to look into that go to every task at once.
 LOOKED_BYTES = 128 << 20
 
@@ -86,6 +89,16 @@ def bucket_vectors(index: DataFrame, plan: Buckets) -> DataFrame:
     return index.withColumn("buckets", numbers(F.col("vector")))
 
 
+def _with_looked(queries: DataFrame, plan: Buckets, probes: int) -> DataFrame:
+    """Add ``looked``: the numbers of the buckets that the query looks into, table by table, as bytes."""
+
+    @F.pandas_udf("binary")
+    def looked(vectors: pd.Series) -> pd.Series:
+        return pd.Series([x.tobytes() for x in probed_buckets(plan, vectors, probes).astype(np.int32)])
+
+    return queries.withColumn("looked", looked("vector"))
+
+
 def _costs(margins: np.ndarray) -> np.ndarray:
     """(tables, 2 ** bits) per query: squared distance to be moved to lie in a bucket other than one's own, by flipped bits."""
     costs = np.zeros((*margins.shape[:-1], 1))
@@ -169,10 +182,10 @@ class _Hits:
         return q, ids, scores
 
 
-def _search(index: DataFrame, local: pd.DataFrame, plan: Buckets, probes: int, k: int) -> DataFrame:
-    """Hits of one block of queries: each task scores, bucket by bucket, the rows it reads."""
+def _search(index: DataFrame, local: pd.DataFrame, plan: Buckets, k: int) -> DataFrame:
+    """Hits of one block of queries with the buckets they look into: each task scores, bucket by bucket, the rows it reads."""
     spark = index.sparkSession
-    looked = probed_buckets(plan, local["vector"], probes)
+    looked = np.frombuffer(b"".join(local["looked"]), np.int32).reshape(len(local), plan.tables, -1)
     lists = []  # per table: queries in order of the bucket they look into, and those buckets
     for t in range(plan.tables):
         bucket = looked[:, t].ravel()
@@ -202,6 +215,63 @@ def _search(index: DataFrame, local: pd.DataFrame, plan: Buckets, probes: int, k
     return index.select("id", "vector", "buckets").mapInPandas(scan, HIT_SCHEMA)
 
 
+def _limits(margins: np.ndarray, probes: int) -> np.ndarray:
+    """(queries, tables, 2): the cost of the last bucket that each query looks into, and the bits flipped to get there, which settle equal costs."""
+    out = np.empty((*margins.shape[:2], 2))
+    step = max(1, CELLS // 2 // (margins.shape[1] << margins.shape[2]))
+    for first in range(0, len(margins), step):
+        costs = _costs(margins[first:first + step])
+        last = np.partition(costs, probes - 1, axis=-1)[..., probes - 1]
+        place = probes - (costs < last[..., None]).sum(axis=-1)
+        flips = np.argmax(np.cumsum(costs == last[..., None], axis=-1) == place[..., None], axis=-1)
+        out[first:first + step] = np.stack([last, flips], axis=-1)
+    return out
+
+
+def _search_grid(index: DataFrame, queries: DataFrame, plan: Buckets, probes: int, k: int, query_block: int) -> DataFrame:
+    """Hits of all queries where each looks into much of the index: blocks of queries and of rows meet in a grid of tasks.
+
+    A block's scores are worked out together; of the pairs that could be among the best those count whose row lies in a bucket that the query looks into.
+    With all buckets looked into every pair counts, and is scored once however many tables there are.
+    """
+    sides = plan.tables, plan.bits
+    if probes >= 1 << plan.bits:
+        asked, held, met = _blocks(queries, "query_id", query_block), _blocks(index.select("id", "vector"), "id", max(1, CELLS // query_block)), None
+    else:
+        asked = _blocks(queries, "query_id", query_block, {
+            "margins": lambda frame, unit: plan.margins(frame["vector"]), "limits": lambda frame, unit: _limits(plan.margins(frame["vector"]), probes),
+        })
+        held = _blocks(index.select("id", "vector", "buckets"), "id", max(1, CELLS // query_block), {
+            "buckets": lambda frame, unit: np.stack(frame["buckets"].to_list()).astype(np.int32),
+        })
+
+        def met(margins: bytes, limits: bytes):
+            margins, limits = np.frombuffer(margins).reshape(-1, *sides), np.frombuffer(limits).reshape(-1, sides[0], 2)
+            own, squares = plan.numbers(margins), margins ** 2
+
+            def of_rows(buckets: bytes):
+                numbers = np.frombuffer(buckets, np.int32).reshape(-1, sides[0])
+
+                def counts(q: np.ndarray, row: np.ndarray) -> np.ndarray:
+                    out, rest = np.zeros(len(q), bool), np.arange(len(q))
+                    for t in range(sides[0]):
+                        who = q[rest]
+                        flips, cost = own[who, t] ^ numbers[row[rest], t], np.zeros(len(rest))
+                        for bit in range(sides[1]):  # in the order of _costs, so that equal costs are equal
+                            cost += np.where(flips >> bit & 1, squares[who, t, bit], 0.0)
+                        last, upto = limits[who, t, 0], limits[who, t, 1]
+                        looked = (cost < last) | ((cost == last) & (flips <= upto))
+                        out[rest[looked]] = True
+                        rest = rest[~looked]
+                    return out
+
+                return counts
+
+            return of_rows
+
+    return _grid(asked, held, k, met)
+
+
 def _gathered(batches: Iterator[pd.DataFrame], dim: int) -> Iterator[pd.DataFrame]:
     """Batches joined to frames of about ``SCAN_BYTES`` of vectors, so that a bucket's rows are scored together."""
     limit = max(1, SCAN_BYTES // (8 * max(dim, 1)))
@@ -234,10 +304,15 @@ def vector_top_k_buckets(index: DataFrame, queries: DataFrame, k: int, plan: Buc
     if probes is None:
         probes = fit_probes(index, plan, k)
     queries = queries.select("query_id", "vector")
-    looked = 16 * plan.tables * min(probes, 1 << plan.bits)  # bytes per query
-    query_block = query_block or max(1, min(QUERY_BYTES // (8 * plan.normals.shape[1]), LOOKED_BYTES // looked))
-    parts = [materialize(_search(index, local, plan, probes, k), "hits") for local in _query_blocks(queries, query_block)]
-    hits = _top(_all(parts, index.sparkSession), k)
+    probes = min(probes, 1 << plan.bits)
+    if plan.tables * probes >= GRID_SHARE * (1 << plan.bits):
+        hits = _top(_search_grid(index, queries, plan, probes, k, min(query_block or QUERY_BLOCK, QUERY_BLOCK)), k)
+    else:
+        looked = 16 * plan.tables * probes  # bytes per query
+        query_block = query_block or max(1, min(QUERY_BYTES // (8 * plan.normals.shape[1]), LOOKED_BYTES // looked))
+        asked = materialize(_with_looked(queries, plan, probes), "asked")
+        parts = [materialize(_search(index, local, plan, k), "hits") for local in _query_blocks(asked, query_block)]
+        hits = _top(_all(parts, index.sparkSession), k)
     if probes >= 1 << plan.bits:
         return hits
     hits = materialize(hits, "hits")

@@ -111,3 +111,39 @@ def test_scores_of_a_bucket_are_worked_out_in_slices(spark, monkeypatch):
     monkeypatch.setattr(A, "LOOKED_BYTES", 16 * 2 * 4 * 100)  # blocks of 100 queries
     found = A.vector_top_k_buckets(index, queries, 3, probes=4, tables=2, bits=2)
     assert sorted(map(tuple, found.collect())) == want
+
+
+def test_best_rows_of_streamed_blocks():
+    draw = np.random.default_rng(3)
+    rows = draw.standard_normal((900, 5))
+    rows[400:500] = rows[0]  # many ties
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    rows[7] = np.nan
+    queries, ids = rows[::50], draw.permutation(900)
+    scores = np.round(queries @ rows.T, 6)
+    even = lambda q, row: (row + q) % 2 == 0
+    for met in (None, even):
+        top = N.TopRows(np.arange(len(queries)), queries, 6)
+        for first in (0, 300, 310, 800):
+            upto = {0: 300, 300: 310, 310: 800, 800: 900}[first]
+            top.add(ids[first:upto], rows[first:upto], None if met is None else (lambda q, row: met(q, row + first)))
+        got = top.hits()
+        for q in range(len(queries)):
+            fits = [i for i in range(900) if np.isfinite(scores[q, i]) and (met is None or met(q, i))]
+            want = sorted((-scores[q, i], ids[i]) for i in fits)[:6]
+            assert [(-s, i) for s, i in zip(got["score"][got["query_id"] == q], got["id"][got["query_id"] == q])] == want
+
+
+@pytest.mark.parametrize("probes", [3, 5, 8])
+def test_the_grid_meets_the_same_rows(spark, monkeypatch, probes):
+    vectors = np.random.default_rng(probes).standard_normal((400, 6))
+    index = materialize(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, vector array<double>"))
+    asked = index.withColumnRenamed("id", "query_id")
+    found = {}
+    for share in (0, 1e9):
+        monkeypatch.setattr(A, "GRID_SHARE", share)
+        if not share:  # no list of queries in the driver
+            monkeypatch.setattr(A, "_query_blocks", None)
+        found[share] = sorted(map(tuple, A.vector_top_k_buckets(index, asked, 4, probes=probes, tables=2, bits=3).collect()))
+        monkeypatch.undo()
+    assert found[0] == found[1e9] and len(found[0]) == 1600
